@@ -75,6 +75,13 @@ def _fields(c: Column) -> Column:
     )
 
 
+def _once(c: Column) -> Column:
+    """The same value, computed once. A filter on a computed column is otherwise
+    pushed below it with the whole computation written out for every mention;
+    the optimizer does not do that with an expression that isn't deterministic."""
+    return F.when(F.monotonically_increasing_id() >= 0, c)
+
+
 def with_parsed(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Adds for each (new name, string column) the columns ``<name>_local``,
     ``<name>_offset`` and ``<name>_zone``. Null, blank and unreadable values,
@@ -137,7 +144,7 @@ def with_parsed(df: DataFrame, columns: dict[str, str]) -> DataFrame:
             f"{k}_offset": F.when((c("kind") == "#") | utc, zero).when(signed, offset),
             f"{k}_zone": F.when((c("kind") != "#") & (z != "") & ~utc & ~signed, z),
         }
-    return df.select(*names, *[v.alias(c) for c, v in out.items()])
+    return df.select(*names, *[_once(v).alias(c) for c, v in out.items()])
 
 
 def zone_offset_us(utc_us: Column, zone: Column) -> Column:
@@ -174,4 +181,4 @@ def with_utc(df: DataFrame, columns: dict[str, tuple[str, Column]]) -> DataFrame
             .when(first & ~second, us - before)
             .when(second & ~first, us - after)
         )
-    return df.select(*names, *[v.alias(c) for c, v in out.items()])
+    return df.select(*names, *[_once(v).alias(c) for c, v in out.items()])
