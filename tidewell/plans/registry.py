@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.plans import problems
+from tidewell.plans import behavior, problems, star
 
-FLAGSHIP = "p2_price_history"
-_MODULES = (problems,)
+FLAGSHIP = "transactional_obt"
+_MODULES = (star, behavior, problems)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
