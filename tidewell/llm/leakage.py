@@ -26,6 +26,9 @@ from tidewell.llm.words import words
 #: Longer runs hold one unless their slips lie closer than this everywhere.
 WINDOW = 11
 MIN_RUN = 25
+#: Slots kept for each slot changed, at least: a slip may hit a slot, a
+#: re-parameterised copy changes most of them.
+KEPT = 2
 #: Passages of one block at most, and characters of all of them.
 BLOCK_ITEMS = 2_000
 BLOCK_CHARS = 4_000_000
@@ -148,7 +151,7 @@ def longest_run(doc: list[str], item: list[str], shift: int, at: int, names: fro
 
 def leaks_in(texts: list[list[str]], items: Items, min_run: int = MIN_RUN) -> set[tuple[int, int]]:
     """(text, item) where the text holds at least ``min_run`` consecutive words of
-    the item's passage and most of the slots in them are the passage's own."""
+    the item's passage and the slots in them are the passage's own, but for slips."""
     found: set[tuple[int, int]] = set()
     checked: dict[tuple[int, int, int], int] = {}
     for t, item, shift, p in items.candidates(texts):
@@ -157,7 +160,7 @@ def leaks_in(texts: list[list[str]], items: Items, min_run: int = MIN_RUN) -> se
             continue
         right, kept, changed = longest_run(texts[t], items.words[item], shift, p, items.names)
         checked[t, item, shift] = p + items.window
-        if right >= min_run and kept >= changed:
+        if right >= min_run and kept >= KEPT * changed:
             found.add((t, item))
     return found
 
