@@ -9,6 +9,7 @@ in place, each against the vector of its own file.
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,15 +95,17 @@ def exactly_once(
     if n_bitmaps * BITMAP_BYTES <= broadcast_bytes:
         return kept(df, vectors)
     # Names and bitmap counts of the files, one row a file as in any file listing.
-    sizes = {f.file: f.n for f in vectors.groupBy("file").agg(F.count(F.lit(1)).alias("n")).toLocalIterator()}
+    # A listing and the metadata column may write one file's address differently.
+    place = lambda u: unquote(urlparse(u).path)
+    marked = {place(f.file): (f.file, f.n) for f in vectors.groupBy("file").agg(F.count(F.lit(1)).alias("n")).toLocalIterator()}
     groups: list[list[str]] = [[]]
     held = 0
     for f in sorted(df.inputFiles()):
-        n = sizes.get(f, 0) * BITMAP_BYTES
+        n = marked.get(place(f), ("", 0))[1] * BITMAP_BYTES
         if groups[-1] and held + n > broadcast_bytes:
             groups.append([])
             held = 0
         groups[-1].append(f)
         held += n
-    parts = [kept(spark.read.schema(df.schema).parquet(*g), vectors.filter(F.col("file").isin(g))) for g in groups]
+    parts = [kept(spark.read.schema(df.schema).parquet(*g), vectors.filter(F.col("file").isin([marked[place(f)][0] for f in g if place(f) in marked]))) for g in groups]
     return reduce(DataFrame.unionByName, parts)
