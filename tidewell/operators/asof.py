@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 HOT_ROWS = 200_000
 
 _JOIN = """
-    SELECT e.* EXCLUDE (entity, slice), v.version_id, v.start_us, v.stop_us
+    SELECT e.* EXCLUDE (entity, __slice), v.version_id, v.start_us, v.stop_us
     FROM events e ASOF LEFT JOIN versions v
-      ON e.entity = v.entity AND e.slice = v.slice AND e.at_us >= v.start_us
+      ON e.entity = v.entity AND e.__slice = v.__slice AND e.at_us >= v.start_us
 """
 
 
@@ -77,6 +77,7 @@ def asof_versions(
     there is none, the entity is null or the event has no time. No event is lost
     or doubled. Whether the version had ended by then is for the caller to say.
 
+    events      columns of the three result names are replaced
     versions    (entity, start_us, stop_us, version_id, <columns of rank>)
     buckets     None: so many that one holds about ``hot_rows`` events
     slicing     cut hot entities; None: look at the counts first (one job over
@@ -85,6 +86,7 @@ def asof_versions(
 
     from tidewell.session import parallelism
 
+    events = events.drop("version_id", "start_us", "stop_us")
     if buckets is None:
         buckets = max(parallelism(events.sparkSession), -(-events.count() // hot_rows))
     tied = resolve_ties(versions, rank)
@@ -100,29 +102,29 @@ def asof_versions(
         # Left joins keep all rows; the hot side is at most rows / hot_rows rows.
         def sliced(df: DataFrame, t: str) -> DataFrame:
             at = F.floor((F.col(t) - F.col("lo")) / F.col("width"))
-            return df.join(hot, "entity", "left").withColumn("slice", F.coalesce(at, zero))
+            return df.join(hot, "entity", "left").withColumn("__slice", F.coalesce(at, zero))
 
         e = sliced(events, "at_us").drop("n_slices", "lo", "width")
         v = sliced(tied, "start_us")
-        w = W.partitionBy("entity").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
-        last = v.filter("n_slices is not null").groupBy("entity", "slice").agg(F.max(F.struct("start_us", "stop_us", "version_id")).alias("best"))
-        grid = hot.select("entity", F.explode(F.sequence(zero, F.col("n_slices"))).alias("slice"))
+        w = W.partitionBy("entity").orderBy("__slice").rowsBetween(W.unboundedPreceding, -1)
+        last = v.filter("n_slices is not null").groupBy("entity", "__slice").agg(F.max(F.struct("start_us", "stop_us", "version_id")).alias("best"))
+        grid = hot.select("entity", F.explode(F.sequence(zero, F.col("n_slices"))).alias("__slice"))
         carried = (
-            grid.join(last, ["entity", "slice"], "left")
+            grid.join(last, ["entity", "__slice"], "left")
             .withColumn("best", F.last("best", ignorenulls=True).over(w))
             .filter("best is not null")
-            .select("entity", "slice", "best.start_us", "best.stop_us", "best.version_id")
+            .select("entity", "__slice", "best.start_us", "best.stop_us", "best.version_id")
         )
-        v = v.select("entity", "slice", "start_us", "stop_us", "version_id").unionByName(carried)
+        v = v.select("entity", "__slice", "start_us", "stop_us", "version_id").unionByName(carried)
     else:
-        e, v = events.withColumn("slice", zero), tied.withColumn("slice", zero)
+        e, v = events.withColumn("__slice", zero), tied.withColumn("__slice", zero)
     # Events without entity or time match nothing; they are spread by their other columns.
     spread = F.xxhash64(*[F.col(c) for c in events.columns])
-    at = lambda: F.pmod(F.when(F.col("entity").isNull(), spread).otherwise(F.xxhash64("entity", "slice")), F.lit(buckets))
-    e = e.withColumn("bucket", at())
-    v = v.withColumn("bucket", F.pmod(F.xxhash64("entity", "slice"), F.lit(buckets)))
+    at = lambda: F.pmod(F.when(F.col("entity").isNull(), spread).otherwise(F.xxhash64("entity", "__slice")), F.lit(buckets))
+    e = e.withColumn("__bucket", at())
+    v = v.withColumn("__bucket", F.pmod(F.xxhash64("entity", "__slice"), F.lit(buckets)))
 
     def run(left, right):  # noqa: ANN001, ANN202
-        return _join_bucket(left.drop_columns(["bucket"]), right, arrow)
+        return _join_bucket(left.drop_columns(["__bucket"]), right, arrow)
 
-    return e.groupBy("bucket").cogroup(v.groupBy("bucket")).applyInArrow(run, out_schema)
+    return e.groupBy("__bucket").cogroup(v.groupBy("__bucket")).applyInArrow(run, out_schema)

@@ -12,20 +12,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Key space is cut in so many stretches; a run never crosses a cut.
-STRETCHES = 256
+#: Key space is cut in so many stretches at least, more if one would hold more
+#: parent rows than this on average; a run never crosses a cut.
+STRETCHES, STRETCH_ROWS = 256, 1_000_000
 
 
-def key_span(parents: DataFrame, key: str) -> tuple[int, int]:
-    """Least and largest key, (0, 0) of an empty table."""
-    lo, hi = parents.agg(F.min(key), F.max(key)).first()
-    return (0, 0) if lo is None else (lo, hi)
+def key_span(parents: DataFrame, key: str) -> tuple[int, int, int]:
+    """Least and largest key and the number of rows that have one; zeros of an
+    empty table."""
+    lo, hi, n = parents.agg(F.min(key), F.max(key), F.count(key)).first()
+    return (0, 0, 0) if lo is None else (lo, hi, n)
 
 
 def _stretch(key: Column, lo: int, hi: int, n: int) -> Column:
-    width = F.lit(max(1, -((lo - hi) // n) + 1)).cast("decimal(38,0)")
-    at = F.floor((key.cast("decimal(38,0)") - F.lit(lo).cast("decimal(38,0)")) / width).cast("int")
-    return F.least(F.greatest(at, F.lit(0)), F.lit(n))
+    width = F.lit(str((hi - lo) // n + 1)).cast("decimal(38,0)")
+    at = F.floor((key.cast("decimal(38,0)") - F.lit(str(lo)).cast("decimal(38,0)")) / width)
+    # Referenced keys beyond the parents' span go to the outermost stretches.
+    return F.least(F.greatest(at, F.lit(0)), F.lit(n)).cast("int")
 
 
 def key_runs(parents: DataFrame, key: str, span: tuple[int, int], stretches: int = STRETCHES) -> DataFrame:
@@ -61,7 +64,7 @@ def find_orphans(
     parent_time: str,
     gone: DataFrame,
     period: Column | None = None,
-    stretches: int = STRETCHES,
+    stretches: int | None = None,
 ) -> DataFrame:
     """(record_key, orphan_kind[, period]) of the references that lead nowhere.
 
@@ -72,7 +75,8 @@ def find_orphans(
     missing     no parent row
     late        the earliest parent row came after the referring row
     Times that are null are unknown and prove nothing."""
-    span = key_span(parents, parent_key)
+    lo, hi, n = key_span(parents, parent_key)
+    span, stretches = (lo, hi), stretches or max(STRETCHES, n // STRETCH_ROWS)
     runs = key_runs(parents, parent_key, span, stretches)
     refs = references.select(
         F.col(row_key).alias("record_key"),
