@@ -67,7 +67,7 @@ def test_offset_history_is_estimated_where_the_declared_one_is_wrong(spark):
         data.append(("right", (at + timedelta(hours=3, minutes=30)).strftime("%Y-%m-%dT%H:%M:%S"), "Asia/Tehran", at + timedelta(seconds=5)))
     df = spark.createDataFrame(data, "k string, v string, z string, a timestamp")
     votes = timestamps.zone_votes(with_parsed(df, {"p": "v"}), "p", "z", F.col("a"))
-    got = {r.writer: r.zone for r in timestamps.offset_histories(votes).collect()}
+    got = {r.writer: r.zone for r in timestamps.offset_histories(votes, timestamps.candidate_zones(df, "z")).collect()}
     assert got == {"Europe/Berlin": "Asia/Tehran", "Asia/Tehran": "Asia/Tehran"}
 
 

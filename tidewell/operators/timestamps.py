@@ -45,18 +45,23 @@ def zone_votes(df: DataFrame, parsed: str, declared: str, arrival: Column) -> Da
     )
 
 
-def offset_histories(votes: DataFrame, min_rows: int = 200, margin: float = 2.0) -> DataFrame:
-    """One row (writer, zone, violations, rows): the history that minimises
+def candidate_zones(df: DataFrame, declared: str) -> Column:
+    """The zones that writers in the data declare, about 600 at most, as a scalar
+    subquery over that one column."""
+    return df.agg(F.collect_set(writer_zone(declared)).alias("z")).scalar()
+
+
+def offset_histories(votes: DataFrame, candidates: Column, min_rows: int = 200, margin: float = 2.0) -> DataFrame:
+    """``candidates``: array of zone names, as of ``candidate_zones``. One row (writer, zone, violations, rows): the history that minimises
     violations. Another zone replaces the declared one only with ``min_rows``
     values and where the declared one has more than ``margin`` times its
     violations and violates more than half of the values. At most one row for
     each zone of the time zone database, about 600."""
-    labels = votes.agg(F.collect_set("writer").alias("z")).scalar()
     noon = (F.col("day").cast("bigint") * DAY + DAY // 2).cast("bigint")
     offset = zone_offset_us(noon, F.col("zone"))
     kept = F.col("ahead").between(offset / QUARTER - 1, offset / QUARTER)
     scored = (
-        votes.withColumn("zone", F.explode(labels))
+        votes.withColumn("zone", F.explode(candidates))
         .groupBy("writer", "zone")
         .agg(
             F.sum(F.when(kept, 0).otherwise(F.col("n"))).alias("violations"),
@@ -100,7 +105,7 @@ def with_instants(
     votes = zone_votes(
         with_parsed(df.select(event, declared, arrival), {"__p": event}), "__p", declared, arrived
     )
-    histories = F.broadcast(offset_histories(votes).select(F.col("writer").alias("__writer"), F.col("zone").alias("__zone")))
+    histories = F.broadcast(offset_histories(votes, candidate_zones(df.select(declared), declared)).select(F.col("writer").alias("__writer"), F.col("zone").alias("__zone")))
     out = with_parsed(df, {"__event": event, "__ingest": ingest}).withColumn("__own", writer_zone(declared))
     out = out.join(histories, F.col("__own") == F.col("__writer"), "left")
     out = with_utc(

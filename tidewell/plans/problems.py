@@ -137,7 +137,7 @@ def p4_writer_zones(spark: SparkSession, d: str) -> DataFrame:
     from tidewell.functions.instants import with_parsed
 
     votes = timestamps.zone_votes(with_parsed(e, {"p": "event_timestamp"}), "p", "origin_zone", F.col("kafka_timestamp"))
-    return timestamps.offset_histories(votes)
+    return timestamps.offset_histories(votes, timestamps.candidate_zones(e.select("origin_zone"), "origin_zone"))
 
 
 # ------------------------------------------------------------------ p5
