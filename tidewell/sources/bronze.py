@@ -69,3 +69,27 @@ def folder_date(path: str = "source_path"):  # noqa: ANN201
     """Date of the YYYY/MM/DD folder in a path, null where there is none."""
     at = F.regexp_extract(F.col(path), r"/(\d{4})/(\d\d)/(\d\d)/", 0)
     return F.replace(F.btrim(at, F.lit("/")), F.lit("/"), F.lit("-")).try_cast("date")
+
+
+def write_days(df: DataFrame, path: str, by: str = "ingest_date", append: bool = False) -> None:
+    """One write of all days as partitions. A null day raises; an existing target
+    raises unless ``append``."""
+    checked = df.withColumn(by, F.coalesce(F.col(by), F.raise_error(F.lit(f"null {by}")).cast("date")))
+    checked.write.mode("append" if append else "errorifexists").partitionBy(by).parquet(path)
+
+
+def write_history(df: DataFrame, path: str, files: int, execute: bool = False, order: tuple[str, ...] = ("kafka_partition", "kafka_offset")) -> bool:
+    """A repaired dataset in ``files`` files, each sorted by Kafka position. Never
+    overwrites; without ``execute`` nothing is written."""
+    if exists(df.sparkSession, path):
+        raise FileExistsError(path)
+    if execute:
+        df.repartition(files, *order[:1], F.col(order[-1])).sortWithinPartitions(*order).write.mode("errorifexists").parquet(path)
+    return execute
+
+
+def safe_partition_time(field: str, kafka: str = "kafka_timestamp", ingested: str = "ingested_at"):  # noqa: ANN201
+    """(time, source) of the first timestamp that is there of field, Kafka and
+    ingestion; a row without any raises."""
+    at = F.coalesce(field, kafka, ingested, F.raise_error(F.lit("no partition time")).cast("timestamp"))
+    return at, F.when(F.col(field).isNotNull(), "field").when(F.col(kafka).isNotNull(), "kafka").otherwise("ingested")
