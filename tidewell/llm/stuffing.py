@@ -29,10 +29,10 @@ MOST_COVERED, SURE_SHARE = 0.5, 0.28
 FUNCTION_WORDS = frozenset(
     """the a an of and or to in on at for is are was were be it its with by from as that this these we i he she they our their has have had not no
     would will shall can cannot must there any none so than then but if only some all every which who what while since because although
-    der die das den dem des ein eine einen einem einer eines und oder zu zum zur in im am auf für ist sind war waren es mit von vom als dass daß wir ich sie er
+    der die das den dem des ein eine einen einem einer eines und oder zu zum zur in im am auf für ist sind war waren es mit von vom als dass wir ich sie er
     hat haben hatte gibt nicht kein keine wird werden kann muss bei aus um nach so nur wie wenn da denn weil obwohl während damit dann dieser diese dieses
-    le la les l d un une du de des et ou à au aux sur pour par est sont était que qui ce cet cette ces nous je il elle on ne n a ont sera avec comme dans car puisque bien alors même
-    el los las lo un una unos y o del al en sobre para por es son era que nosotros yo ha han no con se su sus como hay esta este estos pues ya aunque así solo""".split()
+    le la les l d un une du de des et ou à au aux sur pour par est sont était que qui ce cet cette ces nous je il elle on ne n a ont sera avec comme dans car puisque bien même
+    el los las lo un una unos y o del al en sobre para por es son era que nosotros yo ha han no con se su sus como hay esta este estos pues ya aunque solo""".split()
 )
 
 _LINK = re.compile(
