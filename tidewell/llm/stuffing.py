@@ -14,8 +14,9 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 
-#: A substring counts as repeated from so many occurrences on.
-REPEATS = 3
+#: A substring counts as repeated from so many occurrences on, in a text of fewer
+#: than SHORT words from two on.
+REPEATS, SHORT = 3, 80
 #: Share of the text's letters in list material above which a page is found, as
 #: long as clauses are less than half of it and less than the list material.
 LEAST_SHARE, CLAUSE_SHARE = 0.4, 0.5
@@ -122,6 +123,8 @@ def shares(text: str | None, repeats: int = REPEATS) -> tuple[float, float]:
     n = Counter(tokens)
     total = link_chars
     bound = link_chars
+    if sum(k for w, k in n.items() if w[0].isalpha()) < SHORT:
+        repeats = min(repeats, 2)
     for w, k in n.items():
         if w[0].isalpha():
             total += len(w) * k
