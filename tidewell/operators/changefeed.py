@@ -109,18 +109,20 @@ def current_fields(changes: DataFrame, base_rows: DataFrame, live: DataFrame, fi
     live        the result of ``current_images``
     A field has the value of the last change that carries it since the record was
     last inserted, else of that insert's record (null where it lacks the field),
-    else of the base. Aggregated with partial combination, so a hot record is no
+    else of the base. A payload that says null carries the field; one without the
+    key doesn't. Aggregated with partial combination, so a hot record is no
     hot task."""
     keys = ["table_name", "record_key"]
     bounds = changes.groupBy(*keys).agg(F.max(F.when(F.col("op") == "i", F.col("commit_lsn"))).alias("born"))
-    obj = lambda f: F.get_json_object("payload_json", f"$.{f}")
     since = changes.filter("op <> 'd'").join(bounds, keys).filter("born is null or commit_lsn >= born")
+    since = since.withColumn("sent", F.from_json("payload_json", "map<string,string>"))
+    carried = lambda f: F.map_contains_key("sent", F.lit(f))
     newest = since.groupBy(*keys, "born").agg(
-        *(F.max(F.when(obj(f).isNotNull(), F.struct("commit_lsn", obj(f).alias("v"))))["v"].alias(f"new_{f}") for f in fields)
+        *(F.max(F.when(carried(f), F.struct("commit_lsn", F.try_element_at("sent", F.lit(f)).alias("v")))).alias(f"new_{f}") for f in fields)
     )
     joined = live.join(newest, keys, "left").join(base_rows, keys, "left")
     return joined.select(
         *keys,
         "commit_lsn",
-        *(F.coalesce(F.col(f"new_{f}"), F.when(F.col("born").isNull(), F.col(f))).alias(f) for f in fields),
+        *(F.when(F.col(f"new_{f}").isNotNull(), F.col(f"new_{f}.v")).when(F.col("born").isNull(), F.col(f)).alias(f) for f in fields),
     )

@@ -219,23 +219,32 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return changefeed.current_images(_changes(spark, d), _base_keys(spark, d)).filter("commit_lsn > 0")
 
 
+#: The fields that the feed's payloads carry besides the identifier.
+_P6_FIELDS = {
+    "dim_user": ["username", "device", "loyalty_tier", "location"],
+    "fact_order": ["order_total", "status", "payment_method"],
+    "fact_return_refund": ["refund_amount", "return_reason"],
+}
+
+
 def p6_current_state(spark: SparkSession, d: str) -> DataFrame:
-    """Current value of the changing field of every live record of the three
-    tables: loyalty_tier, status and refund_amount."""
-    fields = {"dim_user": "loyalty_tier", "fact_order": "status", "fact_return_refund": "refund_amount"}
+    """Current value of every field of the feed for every live record of the three
+    tables; fields of other tables are null."""
+    fields = [f for fs in _P6_FIELDS.values() for f in fs]
     changes, base = _changes(spark, d), None
     for name, key in _P6:
+        own = _P6_FIELDS[name]
         rows = (
-            table(spark, d, name, [key, fields[name], "source_kafka_timestamp"])
-            .select(norm_id(key).alias("record_key"), F.col(fields[name]).cast("string").alias("v"), "source_kafka_timestamp")
+            table(spark, d, name, [key, *own, "source_kafka_timestamp"])
+            .select(norm_id(key).alias("record_key"), *[F.col(f).cast("string").alias(f) for f in own], "source_kafka_timestamp")
             .filter("record_key is not null")
             .groupBy("record_key")
-            .agg(F.max(F.struct("source_kafka_timestamp", "v"))["v"].alias("v"))
-            .select(F.lit(name).alias("table_name"), "record_key", *[(F.col("v") if f == fields[name] else F.lit(None).cast("string")).alias(f) for f in fields.values()])
+            .agg(F.max(F.struct("source_kafka_timestamp", *own)).alias("v"))
+            .select(F.lit(name).alias("table_name"), "record_key", *[(F.col(f"v.{f}") if f in own else F.lit(None).cast("string")).alias(f) for f in fields])
         )
         base = rows if base is None else base.unionByName(rows)
     live = changefeed.current_images(changes, base.select("table_name", "record_key"))
-    return changefeed.current_fields(changes, base, live, list(fields.values()))
+    return changefeed.current_fields(changes, base, live, fields)
 
 
 _P6_SQL = """
