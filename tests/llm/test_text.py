@@ -142,3 +142,17 @@ def test_mix_reaches_shares_within_caps(spark):
     assert sorted(map(tuple, again.select(*key).collect())) == sorted(map(tuple, training.select(*key).collect()))
     assert mixing.mix(docs.limit(0), goal)[0].count() == 0
     assert mixing.mix(docs, goal.limit(0))[0].count() == 0
+
+
+def test_training_set_holds_the_documents(spark):
+    from tidewell.llm import queries
+
+    got = queries.p9_training_set(spark, SMALL)
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    assert set(got.columns) == {*next(iter(docs.values())).asDict(), "n_tokens", "copy"}
+    enc, seen = mixing._encoder("byte_bpe_50k.tiktoken"), set()
+    for r in got.collect():
+        assert all(r[c] == v for c, v in docs[r.doc_id].asDict().items())
+        assert r.n_tokens == len(enc.encode_ordinary(r.text or ""))
+        seen.add((r.doc_id, r.copy))
+    assert len(seen) == got.count() == sum(r.n_rows for r in queries.p9_shares(spark, SMALL).collect()) > 0

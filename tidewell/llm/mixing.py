@@ -1,7 +1,7 @@
 """Mixing sources to target shares of all text tokens.
 
-Tokens are counted once per document and written to the shared checkpoint folder.
-From the sums per source follow repetition rates; each document is emitted
+Tokens are counted once per document and written to the shared checkpoint folder,
+and again for the documents used as they are emitted with their text. From the sums per source follow repetition rates; each document is emitted
 floor(rate) times and once more with the fractional part's probability, decided
 by a seeded hash of its id, so a rerun gives the same set.
 """
@@ -29,9 +29,10 @@ def _encoder(vocabulary: str):  # noqa: ANN202
     return tiktoken.Encoding("tokens", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def token_counts(documents: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
-    """(doc_id, source, n_tokens): whole texts, 0 for null and empty ones.
+def token_counts(documents: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", carry: list[str] | None = None) -> DataFrame:
+    """(doc_id, source, n_tokens, <carry>): whole texts, 0 for null and empty ones.
     ``vocabulary`` is a file's name among the public tokenizers or its path."""
+    carry = carry or []
 
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -39,9 +40,11 @@ def token_counts(documents: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken"
         enc = _encoder(vocabulary)
         for b in batches:
             n = [len(enc.encode_ordinary(t)) if t else 0 for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("source"), pa.array(n, pa.int64())], ["doc_id", "source", "n_tokens"])
+            names = ["doc_id", "source", *carry]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(n, pa.int64())], [*names, "n_tokens"])
 
-    return documents.select(F.col("doc_id").cast("bigint"), "source", "text").mapInArrow(count, "doc_id bigint, source string, n_tokens bigint")
+    read = documents.select(F.col("doc_id").cast("bigint"), F.col("source").cast("string"), "text", *(c for c in carry if c != "text"))
+    return read.mapInArrow(count, read.select("doc_id", "source", *carry).withColumn("n_tokens", F.lit(0).cast("bigint")).schema)
 
 
 def repetition_rates(counted: DataFrame, targets: DataFrame) -> DataFrame:
@@ -83,14 +86,17 @@ def copies(rate, key, seed: int):  # noqa: ANN001, ANN201
 def mix(documents: DataFrame, targets: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", seed: int = 17) -> tuple[DataFrame, DataFrame]:
     """(training set, shares).
 
-    training set   (doc_id, source, n_tokens, copy): one row each time a document
-                   is used, copy counting from 1, never above max_repeats
+    training set   (doc_id, source, n_tokens, copy, <the document's other columns,
+                   its text among them>): one row each time a document is used,
+                   copy counting from 1, never above max_repeats
     shares         (source, target_share, max_repeats, rate, n_documents, n_rows,
                    n_tokens, actual_share) as they came out; a source none of whose
                    documents is used is there with zeros
 
-    Texts are joined to the set by doc_id where they are needed. A doc_id on
-    several rows draws the same for each, as equal documents."""
+    The texts never shuffle and aren't checkpointed: the draw needs the id and its
+    source's rate only, so the set is made where the documents are read, and the
+    tokens of those used are counted there once more. A doc_id on several rows
+    draws the same for each, as equal documents."""
     from tidewell.session import shared_dir
 
     shared_dir(documents.sparkSession)
@@ -98,8 +104,12 @@ def mix(documents: DataFrame, targets: DataFrame, vocabulary: str = "byte_bpe_50
     # At most one row a source of mix_target; beyond Spark's own broadcast limit it is a shuffle join.
     rates = repetition_rates(counted, targets)
     drawn = counted.join(rates.select("source", "rate"), "source").withColumn("n", copies(F.col("rate"), F.col("doc_id"), seed))
-    used = drawn.filter("n > 0")
-    training = used.select("doc_id", "source", "n_tokens", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+    own = [c for c in documents.columns if c not in ("doc_id", "source", "n_tokens", "copy")]
+    # One short row a source; without the hint the texts would shuffle by source.
+    by_source = F.broadcast(rates.select("source", F.col("rate").alias("__rate")))
+    picked = documents.join(by_source, "source").withColumn("__n", copies(F.col("__rate"), F.col("doc_id").cast("bigint"), seed))
+    used = token_counts(picked.filter("__n > 0"), vocabulary, [*own, "__n"])
+    training = used.select("doc_id", "source", "n_tokens", F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("copy"), *own)
     sums = drawn.groupBy("source").agg(
         F.count_if(F.col("n") > 0).alias("n_documents"), F.sum("n").alias("n_rows"), F.sum(F.col("n") * F.col("n_tokens")).alias("used_tokens")
     )

@@ -20,8 +20,8 @@ def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 def p9_training_set(spark: SparkSession, d: str) -> DataFrame:
-    """The set: a row each time a document is used."""
-    return _mix(spark, d)[0]
+    """The set: the whole document each time it is used."""
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_target"))[0]
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
