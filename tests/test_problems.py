@@ -127,6 +127,33 @@ def test_exactly_once_keeps_one_copy_and_all_rows_without_id(spark, tmp_path):
     assert exactly_once.exactly_once(spark, empty, "id", "at").count() == 0
 
 
+def test_losers_are_the_rows_that_exactly_once_drops(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(rnd if rnd % 4 else None, rnd % 9, i) for i, rnd in enumerate(range(60))], "k int, at int, n int")
+    df = df.select(F.concat(F.lit("o"), (F.col("k") % 11).cast("string")).alias("id"), F.col("at"), F.col("n"))
+    df.repartition(3).write.parquet(path)
+    for limit in (exactly_once.BROADCAST_BYTES, 4096):
+        kept, lost = ([r.n for r in exactly_once.exactly_once(spark, path, "id", "at", broadcast_bytes=limit, losers=x).collect()] for x in (False, True))
+        assert sorted(kept + lost) == list(range(60)) and len(lost) == 45 - 11
+    once = str(tmp_path / "o")
+    spark.createDataFrame([("a", 1)], "id string, at int").write.parquet(once)
+    assert exactly_once.exactly_once(spark, once, "id", "at", losers=True).count() == 0
+
+
+def test_p3_uses_the_vectors_and_returns_whole_rows(spark, monkeypatch):
+    from tidewell.plans import problems
+
+    built, real = [], exactly_once.deletion_vectors
+    monkeypatch.setattr(exactly_once, "deletion_vectors", lambda slim: built.append(1) or real(slim))
+    assert problems.p3_found(spark, SMALL).count() > 0 and len(built) == 2
+    whole, slim = problems.p3_exactly_once_rows(spark, SMALL), problems.p3_exactly_once(spark, SMALL)
+    for name, key in problems._P3:
+        assert set(spark.read.parquet(f"{SMALL}/{name}.parquet").columns) <= set(whole.columns)
+        same = whole.filter(F.col("table_name") == name).select(exactly_once.norm_id(key), F.unix_micros("source_kafka_timestamp"))
+        old = slim.filter(F.col("table_name") == name).select("message_id", "delivered_us")
+        assert same.exceptAll(old).count() == old.exceptAll(same).count() == 0
+
+
 def test_orphans_by_runs_equal_brute_force(spark):
     rnd = random.Random(2)
     t = lambda h: datetime(2025, 10, 1, tzinfo=UTC) + timedelta(hours=h)

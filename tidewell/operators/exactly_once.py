@@ -66,10 +66,11 @@ def _is_set(bits: Column, row: Column) -> Column:
 
 
 def exactly_once(
-    spark: SparkSession, path: str, key: str, order: str, columns: list[str] | None = None, broadcast_bytes: int = BROADCAST_BYTES
+    spark: SparkSession, path: str, key: str, order: str, columns: list[str] | None = None, broadcast_bytes: int = BROADCAST_BYTES, losers: bool = False
 ) -> DataFrame:
     """The rows of the Parquet table at ``path`` with one row for each identifier
-    (spelling aside) and all rows without one.
+    (spelling aside) and all rows without one. ``losers``: the marked rows instead,
+    all others of the identifiers that have several.
 
     The vectors' size is counted first (bitmaps x 4 KB, one row to the driver).
     Up to ``broadcast_bytes`` they are broadcast and the payload isn't moved at
@@ -84,13 +85,14 @@ def exactly_once(
     vectors = deletion_vectors(positions(df, key, order)).checkpoint()
     n_files, n_bitmaps = vectors.agg(F.count_distinct("file"), F.count(F.lit(1))).first()
     if not n_bitmaps:
-        return df.select(*names)
+        return df.select(*names).filter(F.lit(not losers))
 
     def kept(rows: DataFrame, marks: DataFrame) -> DataFrame:
         m = F.broadcast(marks.select(F.col("file").alias("__f"), F.col("bucket").alias("__b"), F.col("bits").alias("__bits")))
         at = rows.select(*names, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
         hit = at.join(m, (F.col("__file") == F.col("__f")) & (F.bitmap_bucket_number(F.col("__row") + 1) == F.col("__b")), "left")
-        return hit.filter(F.col("__bits").isNull() | ~_is_set(F.col("__bits"), F.col("__row"))).select(*names)
+        marked = F.coalesce(_is_set(F.col("__bits"), F.col("__row")), F.lit(False))
+        return hit.filter(marked if losers else ~marked).select(*names)
 
     if n_bitmaps * BITMAP_BYTES <= broadcast_bytes:
         return kept(df, vectors)

@@ -95,10 +95,11 @@ _P3 = (("fact_order", "order_id"), ("fact_order_item", "order_item_id"))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Identifiers of the positions that the deletion vectors mark."""
     parts = []
     for name, key in _P3:
-        slim = exactly_once.positions(table(spark, d, name), key, "source_kafka_timestamp")
-        parts.append(exactly_once.repeated(slim).select(F.lit(name).alias("table_name"), F.col("id").alias("message_id")))
+        lost = exactly_once.exactly_once(spark, f"{d}/{name}.parquet", key, "source_kafka_timestamp", [key], losers=True)
+        parts.append(lost.select(F.lit(name).alias("table_name"), norm_id(key).alias("message_id")).distinct())
     return parts[0].unionByName(parts[1])
 
 
@@ -115,6 +116,13 @@ def p3_exactly_once(spark: SparkSession, d: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def p3_exactly_once_rows(spark: SparkSession, d: str) -> DataFrame:
+    """As ``p3_exactly_once`` with all columns of both tables; those that only one
+    has are null in the other's rows."""
+    parts = [exactly_once.exactly_once(spark, f"{d}/{n}.parquet", k, "source_kafka_timestamp").withColumn("table_name", F.lit(n)) for n, k in _P3]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True)
+
+
 def _p3_sql(name: str, key: str) -> str:
     idq = f"nullif(upper(trim({key}, E' \\t\\n\\r')), '')"
     return f"""
@@ -332,6 +340,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_price_history": p2_price_history,
     "p3_found": p3_found,
     "p3_exactly_once": p3_exactly_once,
+    "p3_exactly_once_rows": p3_exactly_once_rows,
     "p4_found": p4_found,
     "p4_writer_zones": p4_writer_zones,
     "p5_found": p5_found,
