@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions.ids import WHITE
-from tidewell.session import split_large_methods
 
 SECOND, MINUTE, HOUR, DAY = 1_000_000, 60_000_000, 3_600_000_000, 86_400_000_000
 
@@ -90,8 +89,8 @@ def with_parsed(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
     The texts of fields are one projection, their numbers the next, the result a
     third: plain columns that are used more than once, which the optimizer leaves
-    as they are, so that each regular expression runs once a value."""
-    split_large_methods(df.sparkSession)
+    as they are, so that each regular expression runs once a value. The stage has
+    long expressions; ``session.prepare`` keeps its methods compilable."""
     names = df.columns
     df = df.withColumns({f"__{k}_f": _fields(F.col(c)) for k, c in columns.items()})
     stage: dict[str, Column] = {}

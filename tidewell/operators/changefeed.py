@@ -1,8 +1,8 @@
 """Applying a stream of inserts, updates and deletes as a signed multiset.
 
 A deduplicated change that takes effect contributes minus one of its before-image
-and plus one of its after-image. Images are (record, version); version 0 is the
-row of the base table, any other the number of the change that made it. Summed
+and plus one of its after-image. Images are (record, version); a null version is
+the row of the base table, any other the number of the change that made it. Summed
 with the base, what has a positive multiplicity is the current state.
 """
 
@@ -71,7 +71,7 @@ def _with_before(changes: DataFrame, base: DataFrame, block: int) -> DataFrame:
     prev = F.coalesce("prev", "from_lsn")
     return linked.withColumn("alive", F.when(last_life.isNotNull(), last_life == "i").otherwise(F.coalesce("in_base", F.lit(False)))).withColumn(
         # An alive record's image is that of the change before, for every change of a record that exists takes effect.
-        "version", F.when(F.col("alive"), F.coalesce(prev, F.lit(0)))
+        "version", F.when(F.col("alive"), prev)
     )
 
 
@@ -92,12 +92,13 @@ def signed_images(changes: DataFrame, base: DataFrame, block: int = BLOCK) -> Da
             )
         ).alias("image"),
     ).select("table_name", "record_key", "image.version", "image.n")
-    return base.select("table_name", "record_key", F.lit(0).cast("bigint").alias("version"), F.lit(1).alias("n")).unionByName(images)
+    return base.select("table_name", "record_key", F.lit(None).cast("bigint").alias("version"), F.lit(1).alias("n")).unionByName(images)
 
 
 def current_images(changes: DataFrame, base: DataFrame, block: int = BLOCK) -> DataFrame:
     """(table_name, record_key, commit_lsn) of the records that exist in the end;
-    commit_lsn is the last change that took effect, 0 for an untouched base row."""
+    commit_lsn is the last change that took effect, whatever its number, and null
+    for an untouched base row."""
     summed = signed_images(changes, base, block).groupBy("table_name", "record_key", "version").agg(F.sum("n").alias("n"))
     return summed.filter("n > 0").select("table_name", "record_key", F.col("version").alias("commit_lsn"))
 

@@ -1,11 +1,14 @@
 """History of changing attributes by tree-reduction coalescing.
 
 Each observation is a unit interval. Neighbouring runs of equal payload of one
-entity are merged: first inside leaves (a stretch of time of one entity), then
-pairwise, leaf with leaf, pair with pair, over a logarithmic number of rounds. A
-node of the tree is one row of its two border runs only; a run that lies between
-them is complete and leaves the tree. So the largest group is a leaf, and from
-there on two rows, even where one entity holds a third of all observations.
+entity are merged pairwise, pair with pair, over a logarithmic number of rounds.
+
+Observations are numbered along the order (entity, time), so the tree's height
+follows the number of rows, never the span of time. Rounds run in levels of 16: a
+level gathers up to 65,536 neighbours of one entity and merges them pairwise in 16
+rounds without a shuffle. Of a level's result only the two border runs go on to
+the next level; what lies between them is complete and leaves the tree. So no task
+holds more than 65,536 runs of an entity, even where one entity has a third of all.
 """
 
 from __future__ import annotations
@@ -13,10 +16,10 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-LEAF_US = 7 * 86_400_000_000
+#: Rounds of one level.
+LEVEL_BITS = 16
 
 
 def one_per_instant(df: DataFrame, key: str, at: str, value: str, rank: list[Column]) -> DataFrame:
@@ -27,67 +30,60 @@ def one_per_instant(df: DataFrame, key: str, at: str, value: str, rank: list[Col
     return df.groupBy(key, at).agg(F.max(order)["v"].alias(value))
 
 
-def coalesce_runs(df: DataFrame, key: str, at: str, value: str, leaf_us: int = LEAF_US) -> DataFrame:
+def _merge(a: Column, b: Column) -> Column:
+    """Two neighbouring lists of runs as one: the last run of ``a``, which is open,
+    is joined with the first of ``b`` where the payloads are equal, else it ends
+    where that begins."""
+    left, right = F.element_at(a, -1), F.element_at(b, 1)
+    same = left["v"].eqNullSafe(right["v"])
+    run = lambda stop: F.struct(left["v"].alias("v"), left["start"].alias("start"), stop.alias("stop"))
+    seam = F.when(same, F.array(run(right["stop"]))).otherwise(F.array(run(right["start"]), right))
+    return F.concat(F.slice(a, F.lit(1), F.size(a) - 1), seam, F.slice(b, F.lit(2), F.size(b)))
+
+
+def _round(nodes: Column) -> Column:
+    """Each node with its right neighbour; an odd last one stays as it is."""
+    pair = lambda i: F.when(2 * i + 1 < F.size(nodes), _merge(F.get(nodes, 2 * i), F.get(nodes, 2 * i + 1))).otherwise(F.get(nodes, 2 * i))
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(nodes) - 1) / 2).cast("int")), pair)
+
+
+def _reduce(nodes: str, bits: int) -> Column:
+    """All nodes of a group merged into one list of runs over log2 rounds."""
+    done = F.aggregate(F.sequence(F.lit(1), F.lit(bits)), F.col(nodes), lambda acc, _: F.when(F.size(acc) > 1, _round(acc)).otherwise(acc))
+    return F.get(done, F.lit(0))
+
+
+def coalesce_runs(df: DataFrame, key: str, at: str, value: str, level_bits: int = LEVEL_BITS) -> DataFrame:
     """(key, value, start, stop) of the runs of equal value of each key, from
     distinct (key, at) rows with ``at`` a bigint; stop is the start of the next
     run, null for the last. Null values are a payload like any other. Rows with
-    a null key or ``at`` are in no history. An empty input has none."""
-    d = df.filter(F.col(key).isNotNull() & F.col(at).isNotNull()).select(
-        F.col(key).alias("k"), F.col(at).alias("t"), F.col(value).alias("v")
-    )
-    lo, hi = d.agg(F.min("t"), F.max("t")).first()
-    if lo is None:
-        return d.select(F.col("k").alias(key), F.col("v").alias(value), F.col("t").alias("start"), F.col("t").alias("stop"))
-    leaves = int((hi - lo) // leaf_us) + 1
-    rounds = max(0, (leaves - 1).bit_length())
-    d = d.withColumn("node", F.floor((F.col("t") - F.lit(lo)) / F.lit(leaf_us)))
-
-    # Runs inside each leaf.
-    w = W.partitionBy("k", "node").orderBy("t")
-    starts = d.withColumn("before", F.lag(F.struct("v")).over(w)).filter(
-        F.col("before").isNull() | ~F.col("v").eqNullSafe(F.col("before.v"))
-    )
-    runs = starts.withColumns({"stop": F.lead("t").over(w), "first": F.col("before").isNull()})
-    inner = runs.filter(~F.col("first") & F.col("stop").isNotNull()).select("k", "v", F.col("t").alias("start"), "stop")
-    ends = F.struct("t", "v", "stop")
-    nodes = runs.groupBy("k", "node").agg(F.min(ends).alias("a"), F.max(ends).alias("b")).select(
-        "k",
-        "node",
-        F.col("a.t").alias("lo_t"),
-        F.col("a.v").alias("lo_v"),
-        F.col("a.stop").alias("lo_stop"),
-        F.col("b.t").alias("hi_t"),
-        F.col("b.v").alias("hi_v"),
-    )
-    done = [inner]
-    run = lambda v, start, stop: F.struct(v.alias("v"), start.alias("start"), stop.alias("stop"))
-    for _ in range(rounds):
-        side = F.struct("node", "lo_t", "lo_v", "lo_stop", "hi_t", "hi_v")
-        g = nodes.groupBy("k", F.shiftright("node", 1).alias("parent")).agg(
-            F.min(side).alias("L"), F.max(side).alias("R"), F.count(F.lit(1)).alias("n")
-        )
-        lone = F.col("n") == 1
-        l_one, r_one = F.col("L.lo_stop").isNull(), F.col("R.lo_stop").isNull()
-        same = F.col("L.hi_v").eqNullSafe(F.col("R.lo_v"))
-        left_stop = F.when(same, F.col("R.lo_stop")).otherwise(F.col("R.lo_t"))
-        emit = F.array(
-            F.when(~lone & ~l_one & left_stop.isNotNull(), run(F.col("L.hi_v"), F.col("L.hi_t"), left_stop)),
-            F.when(~lone & ~same & ~r_one, run(F.col("R.lo_v"), F.col("R.lo_t"), F.col("R.lo_stop"))),
-        )
-        done.append(g.select("k", F.explode(F.array_compact(emit)).alias("e")).select("k", "e.v", "e.start", "e.stop"))
-        nodes = g.select(
-            "k",
-            F.col("parent").alias("node"),
-            F.col("L.lo_t").alias("lo_t"),
-            F.col("L.lo_v").alias("lo_v"),
-            F.when(lone | ~l_one, F.col("L.lo_stop")).otherwise(left_stop).alias("lo_stop"),
-            F.when(lone, F.col("L.hi_t")).when(r_one, F.when(same, F.col("L.hi_t")).otherwise(F.col("R.lo_t"))).otherwise(F.col("R.hi_t")).alias("hi_t"),
-            F.when(lone, F.col("L.hi_v")).otherwise(F.col("R.hi_v")).alias("hi_v"),
-        )
-    last = F.array(
-        run(F.col("lo_v"), F.col("lo_t"), F.col("lo_stop")),
-        F.when(F.col("lo_stop").isNotNull(), run(F.col("hi_v"), F.col("hi_t"), F.lit(None).cast("bigint"))),
-    )
-    done.append(nodes.select("k", F.explode(F.array_compact(last)).alias("e")).select("k", "e.v", "e.start", "e.stop"))
+    a null key or ``at`` are in no history. An empty input has none.
+
+    The first level's result is written to the shared checkpoint folder: it is
+    small, and what follows reads it twice a level."""
+    from tidewell.session import shared_dir
+
+    shared_dir(df.sparkSession)
+    d = df.filter(F.col(key).isNotNull() & F.col(at).isNotNull()).select(F.col(key).alias("k"), F.col(at).alias("t"), F.col(value).alias("v"))
+    # Numbers rise along (entity, time): rows of a range come before those of the next one.
+    d = d.repartitionByRange("k", "t").sortWithinPartitions("k", "t").withColumn("node", F.monotonically_increasing_id())
+    unit = F.array(F.struct("v", F.col("t").alias("start"), F.lit(None).cast("bigint").alias("stop")))
+    nodes = d.select("k", "node", unit.alias("runs"))
+    done: list[DataFrame] = []
+    bits = 0
+    while True:
+        bits = min(64, bits + level_bits)
+        parent = F.shiftright("node", level_bits) if bits < 64 else F.lit(0).cast("bigint")
+        group = nodes.groupBy("k", parent.alias("node")).agg(F.array_sort(F.collect_list(F.struct(F.col("node").alias("n"), "runs"))).alias("g"))
+        merged = group.select("k", "node", F.col("g")["runs"].alias("nodes")).select("k", "node", _reduce("nodes", level_bits).alias("runs"))
+        if bits == 64:
+            done.append(merged.select("k", F.explode("runs").alias("e")))
+            break
+        if not done:
+            merged = merged.checkpoint()
+        n = F.size("runs")
+        done.append(merged.filter(n > 2).select("k", F.explode(F.slice("runs", F.lit(2), n - 2)).alias("e")))
+        borders = F.when(n > 1, F.array(F.get("runs", F.lit(0)), F.element_at("runs", -1))).otherwise(F.col("runs"))
+        nodes = merged.select("k", "node", borders.alias("runs"))
     out = reduce(DataFrame.unionByName, done)
-    return out.select(F.col("k").alias(key), F.col("v").alias(value), "start", "stop")
+    return out.select(F.col("k").alias(key), F.col("e.v").alias(value), "e.start", "e.stop")

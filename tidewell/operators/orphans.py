@@ -1,9 +1,11 @@
 """References to records that do not exist, by runs of parent keys.
 
-The sorted distinct integer keys of the parents are compressed to contiguous runs
-(start, stop). A reference is matched as-of to the run that starts last before it
-and is an orphan if it lies beyond that run's stop. Keys that are there are then
-checked exactly for deletion and late arrival.
+The sorted distinct integer keys of the parents are compressed to contiguous runs.
+A run knows its first and last key and the bounds of its parents' times. A
+reference is matched as-of to the run that starts last before it: it is an orphan
+if it lies beyond that run's end, and where the run's bounds already say that no
+parent in it came too late, it is done with. Only keys that the bounds leave open
+are looked up one by one, which single-key runs never need.
 """
 
 from __future__ import annotations
@@ -12,46 +14,55 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Key space is cut in so many stretches at least, more if one would hold more
-#: parent rows than this on average; a run never crosses a cut.
-STRETCHES, STRETCH_ROWS = 256, 1_000_000
+from tidewell.operators.slices import HOT_ROWS, join_hot, ordered_slices
 
 
-def key_span(parents: DataFrame, key: str) -> tuple[int, int, int]:
-    """Least and largest key and the number of rows that have one; zeros of an
-    empty table."""
-    lo, hi, n = parents.agg(F.min(key), F.max(key), F.count(key)).first()
-    return (0, 0, 0) if lo is None else (lo, hi, n)
-
+def parent_ages(parents: DataFrame, key: str, time: str) -> DataFrame:
+    """(key, first, last): the distinct keys with their earliest and latest time.
+    Repeated keys collapse before the shuffle."""
+    p = parents.select(F.col(key).alias("key"), F.col(time).alias("t")).filter("key is not null")
+    return p.groupBy("key").agg(F.min("t").alias("first"), F.max("t").alias("last"))
 
-def _stretch(key: Column, lo: int, hi: int, n: int) -> Column:
-    width = F.lit(str((hi - lo) // n + 1)).cast("decimal(38,0)")
-    at = F.floor((key.cast("decimal(38,0)") - F.lit(str(lo)).cast("decimal(38,0)")) / width)
-    # Referenced keys beyond the parents' span go to the outermost stretches.
-    return F.least(F.greatest(at, F.lit(0)), F.lit(n)).cast("int")
 
+def match_runs(ages: DataFrame, referenced: DataFrame) -> DataFrame:
+    """(key, <columns of referenced>, has_parent, n_keys, first_lo, first_hi,
+    last_lo, last_hi) of the distinct referenced keys: whether a run holds the key,
+    and the bounds of the times of that run's parents (null without one).
 
-def key_runs(parents: DataFrame, key: str, span: tuple[int, int], stretches: int = STRETCHES) -> DataFrame:
-    """(stretch, start, stop) of the contiguous runs of the keys, nulls left out.
-    Repeated keys collapse before the shuffle."""
-    one = parents.select(F.col(key).alias("k")).filter("k is not null").distinct()
-    one = one.withColumn("stretch", _stretch(F.col("k"), *span, stretches))
-    w = W.partitionBy("stretch").orderBy("k")
-    one = one.withColumn("island", F.col("k").cast("decimal(38,0)") - F.row_number().over(w))
-    return one.groupBy("stretch", "island").agg(F.min("k").alias("start"), F.max("k").alias("stop")).drop("island")
+    Keys of both sides are cut together into stretches of about equally many, so
+    neither clustered keys nor an outlier make a large one. A run never crosses a
+    cut. A parent sorts before the reference that equals it."""
+    extra = [c for c in referenced.columns if c != "key"]
+    null = lambda df, c: F.lit(None).cast(df.schema[c].dataType).alias(c)
+    a = ages.select("key", F.lit(True).alias("is_parent"), "first", "last", *[null(referenced, c) for c in extra])
+    b = referenced.select("key", F.lit(False).alias("is_parent"), null(ages, "first"), null(ages, "last"), *extra)
+    both = ordered_slices(a.unionByName(b), ["key", "is_parent"])
+    w = W.partitionBy("slice").orderBy("key", F.col("is_parent").desc()).rowsBetween(W.unboundedPreceding, 0)
+    nth = F.sum(F.col("is_parent").cast("int")).over(w)
+    # Neighbouring parents whose keys follow each other have the same difference.
+    both = both.withColumn("island", F.when(F.col("is_parent"), F.col("key").cast("decimal(38,0)") - nth))
+    both = both.withColumn("island", F.last("island", ignorenulls=True).over(w))
+    run = W.partitionBy("slice", "island")
+    of = lambda f, c: f(F.when(F.col("is_parent"), F.col(c))).over(run)
+    both = both.withColumns(
+        {
+            "stop": of(F.max, "key"),
+            "n_keys": F.sum(F.col("is_parent").cast("int")).over(run),
+            "first_lo": of(F.min, "first"),
+            "first_hi": of(F.max, "first"),
+            "last_lo": of(F.min, "last"),
+            "last_hi": of(F.max, "last"),
+        }
+    ).filter(~F.col("is_parent"))
+    held = F.col("island").isNotNull() & F.coalesce(F.col("key") <= F.col("stop"), F.lit(False))
+    return both.select("key", *extra, held.alias("has_parent"), *[F.when(held, F.col(c)).alias(c) for c in ("n_keys", "first_lo", "first_hi", "last_lo", "last_hi")])
 
 
-def beyond_runs(references: DataFrame, runs: DataFrame, key: str, span: tuple[int, int], stretches: int = STRETCHES) -> DataFrame:
-    """(key, has_parent) of the distinct referenced keys. The references are
-    reduced to distinct keys first, so a key that a third of the rows refer to is
-    one row here."""
-    r = references.select(F.col(key).alias("k")).filter("k is not null").distinct()
-    r = r.select(_stretch(F.col("k"), *span, stretches).alias("stretch"), "k", F.lit(None).cast("bigint").alias("start"), F.lit(None).cast("bigint").alias("stop"))
-    both = r.unionByName(runs.select("stretch", F.col("start").alias("k"), "start", "stop"))
-    # A run sorts before the reference that equals its start.
-    w = W.partitionBy("stretch").orderBy("k", F.col("start").isNull()).rowsBetween(W.unboundedPreceding, 0)
-    met = both.withColumn("until", F.last("stop", ignorenulls=True).over(w)).filter("start is null")
-    return met.select(F.col("k").alias(key), F.coalesce(F.col("k") <= F.col("until"), F.lit(False)).alias("has_parent"))
+def key_runs(ages: DataFrame) -> DataFrame:
+    """(start, stop, n_keys) of the contiguous runs themselves, for inspection."""
+    d = ordered_slices(ages.select("key"), ["key"])
+    island = F.col("key").cast("decimal(38,0)") - F.row_number().over(W.partitionBy("slice").orderBy("key"))
+    return d.withColumn("island", island).groupBy("slice", "island").agg(F.min("key").alias("start"), F.max("key").alias("stop"), F.count(F.lit(1)).alias("n_keys")).drop("island")
 
 
 def find_orphans(
@@ -64,7 +75,7 @@ def find_orphans(
     parent_time: str,
     gone: DataFrame,
     period: Column | None = None,
-    stretches: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """(record_key, orphan_kind[, period]) of the references that lead nowhere.
 
@@ -75,32 +86,32 @@ def find_orphans(
     missing     no parent row
     late        the earliest parent row came after the referring row
     Times that are null are unknown and prove nothing."""
-    lo, hi, n = key_span(parents, parent_key)
-    span, stretches = (lo, hi), stretches or max(STRETCHES, n // STRETCH_ROWS)
-    runs = key_runs(parents, parent_key, span, stretches)
     refs = references.select(
         F.col(row_key).alias("record_key"),
         F.col(ref).alias("key"),
         F.col(row_time).alias("came"),
         *([period.alias("period")] if period is not None else []),
     ).filter("record_key is not null and key is not null")
-    there = beyond_runs(refs, runs, "key", span, stretches)
-    ages = (
-        parents.select(F.col(parent_key).alias("key"), F.col(parent_time).alias("t"))
-        .filter("key is not null")
-        .groupBy("key")
-        .agg(F.min("t").alias("first"), F.max("t").alias("last"))
-    )
-    facts = there.join(ages, "key", "left").join(gone, "key", "left")
+    # A key that a third of the rows refer to is one row here.
+    referenced = refs.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("came").alias("least"))
+    ages = parent_ages(parents, parent_key, parent_time)
+    met = match_runs(ages, referenced).join(gone, "key", "left")
+    # What the run's bounds leave open: some parent of the run, or a deletion, may be later than something.
+    open_late = F.coalesce(F.col("first_hi") > F.col("least"), F.lit(False))
+    open_gone = F.coalesce(F.col("gone_at") > F.col("last_lo"), F.lit(False))
+    met = met.filter(~F.col("has_parent") | open_late | open_gone)
+    sure = met.filter("not has_parent or n_keys = 1").select("key", "n", "has_parent", "gone_at", F.col("first_lo").alias("first"), F.col("last_lo").alias("last"))
+    looked_up = met.filter("has_parent and n_keys > 1").select("key", "n", "has_parent", "gone_at").join(ages, "key")
+    facts = sure.unionByName(looked_up)
     deleted = F.col("gone_at").isNotNull() & (~F.col("has_parent") | F.coalesce(F.col("gone_at") > F.col("last"), F.lit(False)))
     suspect = facts.select(
         "key",
+        "n",
         F.when(deleted, "deleted").when(~F.col("has_parent"), "missing").alias("kind"),
         F.when(F.col("has_parent"), F.col("first")).alias("first"),
-    ).filter("kind is not null or first is not null")
-    # One row a key: the wide side is never multiplied, and a hot key is split by adaptive skew handling.
+    )
     return (
-        refs.join(suspect, "key")
+        join_hot(refs, suspect.drop("n"), "key", suspect.select("key", "n"), hot_rows=hot_rows)
         .withColumn("orphan_kind", F.coalesce("kind", F.when(F.col("first") > F.col("came"), "late")))
         .filter("orphan_kind is not null")
         .select("record_key", "orphan_kind", *(["period"] if period is not None else []))

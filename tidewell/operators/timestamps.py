@@ -2,11 +2,11 @@
 
 Values that carry an offset or a zone are final after reading. Local values are
 converted by the offset history of the *writer* (the front end or table that
-wrote them). A writer's history is estimated: every candidate history (the zones
-that occur as writers in the data) is scored by its violations, the local values
-that, converted by it, do not fall just before their arrival. The history with
-the fewest violations wins; the zone a writer declares is the prior and is only
-given up where the data contradict it clearly.
+wrote them). A writer that declares a zone has that zone's history. For those that
+declare none it is estimated: every candidate history (the zones that writers in
+the data declare, and the default) is scored by its violations, the local values
+that, converted by it, do not fall just before their arrival, and the history with
+the fewest wins.
 """
 
 from __future__ import annotations
@@ -20,12 +20,17 @@ from tidewell.functions.instants import CANONICAL, DAY, known_zones, with_parsed
 QUARTER = 900_000_000
 #: Offsets lie between -12 and +14 hours; other differences are late or early clocks.
 LEAST, MOST = -48, 56
+#: Writers without a declared zone; the zone they have unless the data say otherwise.
+UNDECLARED, DEFAULT_ZONE = "(none)", "UTC"
+#: Evidence for the prior (the default, the declared zone): another history must
+#: have more than this many fewer violations. The same for any number of rows.
+PRIOR = 10
 
 
-def writer_zone(declared: Column | str, default: str = "UTC") -> Column:
-    """The zone a writer declares, ``default`` where it declares none or no known one."""
+def declared_zone(declared: Column | str) -> Column:
+    """The zone a writer declares; null where it declares none or no known one."""
     z = strip(declared)
-    return F.when(z.isin(known_zones()), z).otherwise(F.lit(default))
+    return F.when(z.isin(known_zones()), z)
 
 
 def zone_votes(df: DataFrame, parsed: str, declared: str, arrival: Column) -> DataFrame:
@@ -37,7 +42,7 @@ def zone_votes(df: DataFrame, parsed: str, declared: str, arrival: Column) -> Da
     return (
         df.filter(local)
         .groupBy(
-            writer_zone(declared).alias("writer"),
+            F.coalesce(declared_zone(declared), F.lit(UNDECLARED)).alias("writer"),
             F.floor(us / DAY).cast("int").alias("day"),
             F.when(ahead.between(LEAST, MOST), ahead).otherwise(F.lit(None)).alias("ahead"),
         )
@@ -45,44 +50,50 @@ def zone_votes(df: DataFrame, parsed: str, declared: str, arrival: Column) -> Da
     )
 
 
-def candidate_zones(df: DataFrame, declared: str) -> Column:
-    """The zones that writers in the data declare, about 600 at most, as a scalar
-    subquery over that one column."""
-    return df.agg(F.collect_set(writer_zone(declared)).alias("z")).scalar()
+def candidate_zones(df: DataFrame, declared: str, default: str = DEFAULT_ZONE) -> Column:
+    """The zones that writers in the data declare, about 600 at most, and the
+    default, as a scalar subquery over that one column."""
+    return df.agg(F.array_sort(F.array_union(F.collect_set(declared_zone(declared)), F.array(F.lit(default)))).alias("z")).scalar()
 
 
-def offset_histories(votes: DataFrame, candidates: Column, min_rows: int = 200, margin: float = 2.0) -> DataFrame:
-    """``candidates``: array of zone names, as of ``candidate_zones``. One row (writer, zone, violations, rows): the history that minimises
-    violations. Another zone replaces the declared one only with ``min_rows``
-    values and where the declared one has more than ``margin`` times its
-    violations and violates more than half of the values. At most one row for
-    each zone of the time zone database, about 600."""
+def offset_histories(votes: DataFrame, candidates: Column, default: str = DEFAULT_ZONE, prior: int = PRIOR) -> DataFrame:
+    """(writer, declared, estimated, zone, violations, rows), at most one row for
+    each zone of the time zone database, about 600, and one of the undeclared.
+
+    estimated  the history that minimises violations, with ``prior`` more counted
+               for any but the declared zone (the default where none is declared)
+    zone       what values are converted by: the declared zone, else the estimate
+    violations of ``zone``
+
+    Days on which all candidates have the same offsets are alike, and votes are
+    summed over them before they meet the candidates."""
     noon = (F.col("day").cast("bigint") * DAY + DAY // 2).cast("bigint")
-    offset = zone_offset_us(noon, F.col("zone"))
-    kept = F.col("ahead").between(offset / QUARTER - 1, offset / QUARTER)
+    offsets = F.transform("zones", lambda z: F.struct(z.alias("zone"), (zone_offset_us(noon, z) / QUARTER).alias("offset")))
+    days = votes.select("day").distinct().withColumn("zones", candidates).select("day", offsets.alias("offsets"))
+    alike = votes.join(days, "day").groupBy("writer", "offsets", "ahead").agg(F.sum("n").alias("n"))
+    kept = F.col("ahead").between(F.col("c.offset") - 1, F.col("c.offset"))
     scored = (
-        votes.withColumn("zone", F.explode(candidates))
-        .groupBy("writer", "zone")
+        alike.withColumn("c", F.explode("offsets"))
+        .groupBy("writer", F.col("c.zone").alias("zone"))
         .agg(
             F.sum(F.when(kept, 0).otherwise(F.col("n"))).alias("violations"),
             F.sum("n").alias("rows"),
         )
     )
-    own = F.col("zone") == F.col("writer")
+    undeclared = F.col("writer") == UNDECLARED
+    expected = F.when(undeclared, F.lit(default)).otherwise(F.col("writer"))
+    own = F.col("zone") == expected
     one = scored.groupBy("writer").agg(
-        F.min(F.struct("violations", (~own).alias("other"), "zone")).alias("best"),
-        F.max(F.when(own, F.col("violations"))).alias("declared"),
+        F.min(F.struct((F.col("violations") + F.when(own, 0).otherwise(prior)).alias("score"), (~own).alias("other"), "zone", "violations")).alias("best"),
+        F.max(F.when(own, F.col("violations"))).alias("of_own"),
         F.max("rows").alias("rows"),
     )
-    contradicted = (
-        (F.col("rows") >= min_rows)
-        & (F.col("declared") > margin * F.col("best.violations"))
-        & (F.col("declared") * 2 > F.col("rows"))
-    )
     return one.select(
         "writer",
-        F.when(contradicted, F.col("best.zone")).otherwise(F.col("writer")).alias("zone"),
-        F.when(contradicted, F.col("best.violations")).otherwise(F.col("declared")).alias("violations"),
+        F.when(~undeclared, F.col("writer")).alias("declared"),
+        F.col("best.zone").alias("estimated"),
+        F.when(undeclared, F.col("best.zone")).otherwise(F.col("writer")).alias("zone"),
+        F.when(undeclared, F.col("best.violations")).otherwise(F.col("of_own")).alias("violations"),
         "rows",
     )
 
@@ -96,25 +107,17 @@ def with_instants(
 ) -> DataFrame:
     """Adds ``<event>_us`` and ``<ingest>_us``, microseconds since 1970 UTC, null
     where the text fixes no single instant. All other columns and rows stay.
-    ``ingest`` without zone is UTC; ``event`` without zone follows the estimated
-    history of its writer. A writer without any vote keeps its declared zone.
-
-    The writers' table has one row for each zone name of the JVM's database at
-    most, which is the proven bound for broadcasting it."""
-    arrived = F.col(arrival)
-    votes = zone_votes(
-        with_parsed(df.select(event, declared, arrival), {"__p": event}), "__p", declared, arrived
-    )
-    histories = F.broadcast(offset_histories(votes, candidate_zones(df.select(declared), declared)).select(F.col("writer").alias("__writer"), F.col("zone").alias("__zone")))
-    out = with_parsed(df, {"__event": event, "__ingest": ingest}).withColumn("__own", writer_zone(declared))
-    out = out.join(histories, F.col("__own") == F.col("__writer"), "left")
-    out = with_utc(
-        out,
-        {
-            f"{event}_us": ("__event", F.coalesce(F.col("__zone"), F.col("__own"))),
-            f"{ingest}_us": ("__ingest", F.lit("UTC")),
-        },
-    )
+    ``ingest`` without zone is UTC; ``event`` without zone follows the history of
+    its writer: the declared zone, or the estimate for those that declare none
+    (the default where no value of theirs can be aligned with an arrival).
+
+    Only values without zone are read twice, once to estimate theirs. The estimate
+    is a scalar subquery of one zone name."""
+    unknown = df.filter(declared_zone(declared).isNull()).select(event, declared, arrival)
+    votes = zone_votes(with_parsed(unknown, {"__p": event}), "__p", declared, F.col(arrival))
+    estimate = offset_histories(votes, candidate_zones(df.select(declared), declared)).agg(F.max("zone").alias("zone")).scalar()
+    out = with_parsed(df, {"__event": event, "__ingest": ingest}).withColumn("__own", F.coalesce(declared_zone(declared), estimate, F.lit(DEFAULT_ZONE)))
+    out = with_utc(out, {f"{event}_us": ("__event", F.col("__own")), f"{ingest}_us": ("__ingest", F.lit("UTC"))})
     return out.select(*df.columns, f"{event}_us", f"{ingest}_us")
 
 

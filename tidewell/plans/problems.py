@@ -26,6 +26,7 @@ def _buffered(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """The events that corrected a published day."""
     return late_events.corrections(_buffered(spark, d), "event_key")
 
 
@@ -46,6 +47,11 @@ def p1_final_days(spark: SparkSession, d: str) -> DataFrame:
     return late_events.release(_buffered(spark, d), "event_key")
 
 
+def p1_rejected_events(spark: SparkSession, d: str) -> DataFrame:
+    """Events that came after the cut-off of their day's value, with their delay."""
+    return late_events.rejected(_buffered(spark, d), "event_key")
+
+
 # ------------------------------------------------------------------ p2
 
 
@@ -140,7 +146,8 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_writer_zones(spark: SparkSession, d: str) -> DataFrame:
-    """Offset history estimated for each writer, with the values that contradict it."""
+    """The history declared by and estimated for each writer, those without a zone
+    among them, the one that converts, and the values that contradict it."""
     e = table(spark, d, "fact_behavioral_event", ["event_timestamp", "origin_zone", "kafka_timestamp"])
     from tidewell.functions.instants import with_parsed
 
@@ -224,7 +231,7 @@ def _changes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return changefeed.current_images(_changes(spark, d), _base_keys(spark, d)).filter("commit_lsn > 0")
+    return changefeed.current_images(_changes(spark, d), _base_keys(spark, d)).filter("commit_lsn is not null")
 
 
 #: The fields that the feed's payloads carry besides the identifier.
@@ -336,6 +343,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_provisional_days": p1_provisional_days,
     "p1_final_days": p1_final_days,
+    "p1_rejected_events": p1_rejected_events,
     "p2_found": p2_found,
     "p2_price_history": p2_price_history,
     "p3_found": p3_found,

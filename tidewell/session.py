@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -13,6 +12,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -31,27 +31,29 @@ def build_session(app: str = "tidewell", master: str | None = None, shuffle: int
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share (``spark.checkpoint.dir``). Only where a
-    session has none, as in tests, a folder of this machine is set up for it."""
+    session has none and runs on this machine alone, as in tests, a folder of this
+    machine is set up for it; on a cluster that is an error."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if at is None:
         held = sc._jsc.sc().getCheckpointDir()
-        at = held.get() if held.isDefined() else tempfile.mkdtemp(prefix="tidewell-")
+        if held.isDefined():
+            at = held.get()
+        elif sc.master.startswith("local"):
+            at = tempfile.mkdtemp(prefix="tidewell-")
+        else:
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(at)
     return at
 
 
-def split_large_methods(spark: SparkSession) -> None:
-    """HotSpot interprets methods above 8,000 bytes of bytecode instead of
-    compiling them. Beyond that size a stage of long expressions is faster with
-    one projection an operator, which Spark cuts into small methods."""
-    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
-
-
-def cores(spark: SparkSession) -> int:
-    """Task slots of the session, at least one."""
-    return max(1, spark.sparkContext.defaultParallelism or os.cpu_count() or 1)
+def prepare(spark: SparkSession) -> None:
+    """What the registered queries expect of a session that ``build_session`` did
+    not make. HotSpot interprets methods above 8,000 bytes of bytecode instead of
+    compiling them; above that size a stage of long expressions is faster with one
+    projection an operator, which Spark cuts into small methods."""
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", DEFAULTS["spark.sql.codegen.hugeMethodLimit"])
 
 
 def parallelism(spark: SparkSession, floor: int = 12) -> int:
