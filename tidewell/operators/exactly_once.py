@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions.ids import norm_id
+from tidewell.operators.slices import HOT_ROWS, join_hot
 
 #: Rows of one bitmap of Spark's bitmap functions, which hold 4,096 bytes.
 BITMAP_ROWS = 32_768
@@ -23,13 +24,19 @@ BITMAP_BYTES = 4_096
 BROADCAST_BYTES = 64 << 20
 
 
+def file_number(path: Column) -> Column:
+    """What stands for a file in the shuffle, instead of its long address: two
+    independent hashes, 96 bits, which no two files of a table share."""
+    return F.struct(F.xxhash64(path).alias("a"), F.crc32(path.cast("binary")).alias("b"))
+
+
 def positions(df: DataFrame, key: str, order: str) -> DataFrame:
     """(id, at, file, row) of the rows that have an identifier. The scan reads
     these two columns only; ``df`` must be a plain file scan."""
     return df.select(
         norm_id(key).alias("id"),
         F.col(order).alias("at"),
-        F.col("_metadata.file_path").alias("file"),
+        file_number(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.row_index").alias("row"),
     ).filter("id is not null")
 
@@ -46,13 +53,13 @@ def repeated(slim: DataFrame) -> DataFrame:
     return winners(slim).filter("copies > 1").select("id")
 
 
-def deletion_vectors(slim: DataFrame) -> DataFrame:
-    """(file, bucket, bits): the losing rows. A position is shuffled with its
-    identifier only where the identifier has several copies, and one identifier
-    with very many copies is reduced to its winner before it meets them again:
-    losers are all its positions minus the winner's."""
-    won = winners(slim).filter("copies > 1").select("id", "winner")
-    hit = slim.join(won, "id")
+def deletion_vectors(slim: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(file, bucket, bits): the losing rows, all positions of an identifier with
+    several copies minus the winner's. An identifier with very many copies is
+    reduced to its winner before it meets them again, and then meets them in
+    several tasks."""
+    won = winners(slim).filter("copies > 1")
+    hit = join_hot(slim.drop("at"), won.select("id", "winner"), "id", won.select("id", F.col("copies").alias("n")), hot_rows=hot_rows)
     losers = hit.filter((F.col("file") != F.col("winner.file")) | (F.col("row") != F.col("winner.row")))
     return losers.groupBy("file", F.bitmap_bucket_number(F.col("row") + 1).alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(F.col("row") + 1)).alias("bits")
@@ -89,17 +96,19 @@ def exactly_once(
 
     def kept(rows: DataFrame, marks: DataFrame) -> DataFrame:
         m = F.broadcast(marks.select(F.col("file").alias("__f"), F.col("bucket").alias("__b"), F.col("bits").alias("__bits")))
-        at = rows.select(*names, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+        at = rows.select(*names, file_number(F.col("_metadata.file_path")).alias("__file"), F.col("_metadata.row_index").alias("__row"))
         hit = at.join(m, (F.col("__file") == F.col("__f")) & (F.bitmap_bucket_number(F.col("__row") + 1) == F.col("__b")), "left")
         marked = F.coalesce(_is_set(F.col("__bits"), F.col("__row")), F.lit(False))
         return hit.filter(marked if losers else ~marked).select(*names)
 
     if n_bitmaps * BITMAP_BYTES <= broadcast_bytes:
         return kept(df, vectors)
-    # Names and bitmap counts of the files, one row a file as in any file listing.
+    # Addresses, numbers and bitmap counts of the files, one row a file as in any file listing.
     # A listing and the metadata column may write one file's address differently.
     place = lambda u: unquote(urlparse(u).path)
-    marked = {place(f.file): (f.file, f.n) for f in vectors.groupBy("file").agg(F.count(F.lit(1)).alias("n")).toLocalIterator()}
+    address = df.select(F.col("_metadata.file_path").alias("address")).distinct().withColumn("file", file_number(F.col("address")))
+    counted = vectors.groupBy("file").agg(F.count(F.lit(1)).alias("n")).join(address, "file")
+    marked = {place(f.address): (f.address, f.n) for f in counted.toLocalIterator()}
     groups: list[list[str]] = [[]]
     held = 0
     for f in sorted(df.inputFiles()):
@@ -109,5 +118,5 @@ def exactly_once(
             held = 0
         groups[-1].append(f)
         held += n
-    parts = [kept(spark.read.schema(df.schema).parquet(*g), vectors.filter(F.col("file").isin([marked[place(f)][0] for f in g if place(f) in marked]))) for g in groups]
+    parts = [kept(spark.read.schema(df.schema).parquet(*g), vectors.filter(F.col("file").isin([file_number(F.lit(marked[place(f)][0])) for f in g if place(f) in marked]))) for g in groups]
     return reduce(DataFrame.unionByName, parts)

@@ -289,7 +289,7 @@ WHERE k.last_life = 'i' OR (k.last_life IS NULL AND ids.record_key IS NOT NULL)
 # ------------------------------------------------------------------ p7
 
 
-def _items_with_versions(spark: SparkSession, d: str) -> DataFrame:
+def _items_with_versions(spark: SparkSession, d: str, as_known: bool = False) -> DataFrame:
     items = table(spark, d, "fact_order_item", ["order_item_id", "product_id", "product_sk", "order_timestamp"]).select(
         norm_id("product_id").alias("entity"),
         F.unix_micros("order_timestamp").alias("at_us"),
@@ -304,6 +304,7 @@ def _items_with_versions(spark: SparkSession, d: str) -> DataFrame:
         F.col("product_sk").alias("version_id"),
         F.coalesce(F.lower(strip("source_kind")) == "snapshot", F.lit(False)).alias("is_snapshot"),
         F.col("source_kafka_timestamp").alias("source_at"),
+        *([F.unix_micros("source_kafka_timestamp").alias("known_us")] if as_known else []),
     )
     joined = asof.asof_versions(items, versions, [F.col("is_snapshot"), F.col("source_at")])
     in_force = F.col("version_id").isNotNull() & (F.col("stop_us").isNull() | (F.col("stop_us") > F.col("at_us")))
@@ -311,6 +312,7 @@ def _items_with_versions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """By start alone, as the problem's statement has it."""
     j = _items_with_versions(spark, d).filter("order_item_id is not null and at_us is not null")
     return j.filter(~F.col("stored_sk").eqNullSafe(F.col("product_sk"))).select("order_item_id", "product_sk").distinct()
 
@@ -321,6 +323,12 @@ def p7_items(spark: SparkSession, d: str) -> DataFrame:
     return _items_with_versions(spark, d).select("order_item_id", "at_us", "stored_sk", "product_sk")
 
 
+def p7_items_as_known(spark: SparkSession, d: str) -> DataFrame:
+    """The same with the versions that had reached the source by the item's time:
+    a backdated version that came later is not used."""
+    return _items_with_versions(spark, d, as_known=True).select("order_item_id", "at_us", "product_sk")
+
+
 _P7 = """
 WITH v AS (
   SELECT upper(trim(product_id, E' \\t\\n\\r')) AS product_id, effective_from, effective_to, product_sk,
@@ -339,6 +347,22 @@ WITH v AS (
 )
 """
 
+_P7_KNOWN = """
+WITH v AS (
+  SELECT upper(trim(product_id, E' \\t\\n\\r')) AS product_id, effective_from, effective_to, product_sk, greatest(effective_from, source_kafka_timestamp) AS available,
+    (coalesce(source_kind, '') = 'snapshot', coalesce(epoch_us(source_kafka_timestamp), -9000000000000000000), coalesce(epoch_us(effective_to), 9000000000000000000), product_sk) AS prio
+  FROM dim_product WHERE effective_from IS NOT NULL
+), i AS (
+  SELECT row_number() OVER () AS n, nullif(upper(trim(order_item_id, E' \\t\\n\\r')), '') AS order_item_id, upper(trim(product_id, E' \\t\\n\\r')) AS product_id, order_timestamp
+  FROM fact_order_item
+), b AS (
+  SELECT i.n, arg_max(v.product_sk, (v.effective_from, v.prio)) AS product_sk, arg_max(coalesce(epoch_us(v.effective_to), 9000000000000000000), (v.effective_from, v.prio)) AS stop_us
+  FROM i JOIN v ON i.product_id = v.product_id AND v.available <= i.order_timestamp GROUP BY 1
+)
+SELECT i.order_item_id, epoch_us(i.order_timestamp) AS at_us, CASE WHEN b.stop_us > epoch_us(i.order_timestamp) THEN b.product_sk ELSE 0 END AS product_sk
+FROM i LEFT JOIN b USING (n)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_provisional_days": p1_provisional_days,
@@ -357,6 +381,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_current_state": p6_current_state,
     "p7_found": p7_found,
     "p7_items": p7_items,
+    "p7_items_as_known": p7_items_as_known,
 }
 
 ORACLES: dict[str, str] = {
@@ -372,5 +397,6 @@ ORACLES: dict[str, str] = {
     "p6_found": _P6_SQL,
     "p7_found": _P7
     + "SELECT DISTINCT order_item_id, product_sk FROM j WHERE order_item_id IS NOT NULL AND order_timestamp IS NOT NULL AND stored_sk IS DISTINCT FROM product_sk",
+    "p7_items_as_known": _P7_KNOWN,
     "p7_items": _P7 + "SELECT order_item_id, epoch_us(order_timestamp) AS at_us, stored_sk, product_sk FROM j",
 }
