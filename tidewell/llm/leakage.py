@@ -2,59 +2,50 @@
 
 Numbers, names and units become typed placeholders, so that a passage and a
 re-parameterised copy share their template. Windows of the template are joined by
-hash; for each pair of a document and an item that share one, the run around it is
-then checked word for word, slots included.
+hash, and so are shorter windows of the words themselves, which also lie between
+slips that follow each other closely. For each pair of a document and an item that
+share a window the run around it is then checked word for word: slots that were
+kept make it a quotation, slots that were changed a re-parameterised copy.
 
-The items are a stated query set, taken in blocks of bounded size; each block's
-windows are the broadcast side of the hash join, every document is the other. So
-the corpus is read and cut to words once a block, and is never shuffled.
+The items are a stated query set, taken in blocks of bounded size; the blocks'
+windows are the broadcast side of the hash join, every document is the other. The
+corpus is read and cut to words once for eight blocks, and is never shuffled.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.words import words
+from tidewell.llm.words import readings, words
 
-#: Words of a template window: 25 words with a slip in the middle still hold one.
-#: Longer runs hold one unless their slips lie closer than this everywhere.
-WINDOW = 11
 MIN_RUN = 25
-#: Slots kept for each slot changed, at least: a slip may hit a slot, a
-#: re-parameterised copy changes most of them.
+#: Words of a template window, and of a window of the words themselves.
+WINDOW, EXACT = 13, 7
+#: Slots kept for each slot changed, at least, in a quotation: a slip may hit a
+#: slot, a re-parameterised copy changes most of them.
 KEPT = 2
-#: Passages of one block at most, and characters of all of them.
-BLOCK_ITEMS = 2_000
-BLOCK_CHARS = 4_000_000
-#: Words of a unit, whose number is a slot (fixed values).
-UNITS = frozenset(
-    "percent prozent pour cent por ciento euro euros crowns kronen couronnes coronas dollars dollar pounds km kg meter metres metros hours stunden heures horas days tage jours dias".split()
-)
-_UNIT, _NUMBER, _NAME = "\x01u", "\x01n", "\x01e"
-_DIGIT = re.compile(r"\d")
-
-
-def names_of(texts: list[str]) -> frozenset[str]:
-    """Words that are written with a capital inside sentences and never without
-    one: the names of the query set."""
-    upper: set[str] = set()
-    lower: set[str] = set()
-    for t in texts:
-        for m in re.finditer(r"[^\W\d_]+", t):
-            w = m.group()
-            (upper if w[0].isupper() else lower).add("".join(words(w)))
-    return frozenset(upper - lower)
+#: Passages of one block at most, characters of all of them, and blocks that one
+#: pass over the corpus holds (about 20 MB each in a worker).
+BLOCK_ITEMS, BLOCK_CHARS, PASS_BLOCKS = 2_000, 4_000_000, 8
+VERBATIM, CHANGED = "verbatim", "re-parameterised"
+
+_WORD = re.compile(r"[^\W\d_]+")
 
 
-def template(ws: list[str], names: frozenset[str]) -> list[str]:
-    """Words with numbers, units and names replaced by typed placeholders."""
-    return [_NUMBER if _DIGIT.search(w) else _UNIT if w in UNITS else _NAME if w in names else w for w in ws]
+def case_of(text: str) -> tuple[set[str], set[str]]:
+    """(words written with a capital, words written without one)."""
+    upper: set[str] = set()
+    lower: set[str] = set()
+    for m in _WORD.finditer(text):
+        w = m.group()
+        (upper if w[0].isupper() else lower).add("".join(words(w)))
+    return upper, lower
 
 
 def _windows(ids: np.ndarray, n: int) -> np.ndarray:
@@ -69,69 +60,122 @@ def _windows(ids: np.ndarray, n: int) -> np.ndarray:
     return h
 
 
-class Items:
-    """A block of items: word ids, template windows and where they occur."""
+class Vocabulary:
+    """The words of the whole query set, with their hashes as they are and as they
+    stand in a template. So what counts as a slot doesn't depend on a block."""
 
-    def __init__(self, rows: list[tuple[int, str]], window: int = WINDOW) -> None:
-        self.window = window
-        self.names = names_of([t for _, t in rows])
-        self.words = {i: words(t) for i, t in rows}
-        vocabulary = sorted({w for ws in self.words.values() for w in template(ws, self.names)})
+    def __init__(self, texts: Iterable[str]) -> None:
+        upper: set[str] = set()
+        lower: set[str] = set()
+        known: set[str] = set()
+        for t in texts:
+            u, low = case_of(t)
+            upper |= u
+            lower |= low
+            known.update(words(t))
+        self.names = frozenset(upper - lower)
+        n = len(known)
+        #: Unknown words have number 0, unknown numbers n + 1.
+        self.number = {w: i + 1 for i, w in enumerate(sorted(known))}
         rng = np.random.default_rng(1)
-        self.ids = dict(zip(vocabulary, rng.integers(1, 1 << 63, len(vocabulary), dtype=np.uint64), strict=True))
-        for slot in (_NUMBER, _UNIT, _NAME):
-            self.ids.setdefault(slot, rng.integers(1, 1 << 63, dtype=np.uint64))
-        #: What a word of a document counts as: its own id, or its slot's.
-        self.of = {w: int(self.ids[t]) for w in self.ids for t in template([w], self.names)} | {w: int(self.ids[_NAME]) for w in self.names}
-        self.at: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for i, ws in self.words.items():
-            for k, h in enumerate(_windows(self.encode(ws), window).tolist()):
-                self.at[h].append((i, k))
-        self.sorted = np.array(sorted(self.at), dtype=np.uint64)
-
-    def encode(self, ws: list[str]) -> np.ndarray:
-        number, of = int(self.ids[_NUMBER]), self.of.get
-        return np.fromiter((of(w, 0) or (number if w[0].isdigit() or not w.isalpha() and _DIGIT.search(w) else 0) for w in ws), dtype=np.uint64, count=len(ws))
+        own = rng.integers(1, 1 << 63, n + 2, dtype=np.uint64)
+        name, self.digits, self.unit = (rng.integers(1, 1 << 63, dtype=np.uint64) for _ in range(3))
+        self._exact = own.copy()
+        self._exact[[0, n + 1]] = 0
+        # A word of a document that no passage has stands where a name may stand.
+        self._template = own
+        self._template[0], self._template[n + 1] = name, self.digits
+        for w, i in self.number.items():
+            if w[0].isdigit():
+                self._template[i] = self.digits
+            elif w in self.names:
+                self._template[i] = name
+
+    def numbers(self, ws: list[str]) -> np.ndarray:
+        get, other = self.number.get, len(self.number) + 1
+        return np.fromiter((get(w) or (other if w[0].isdigit() else 0) for w in ws), dtype=np.int64, count=len(ws))
+
+    def ids(self, numbers: np.ndarray, template: bool) -> np.ndarray:
+        """Hashes of the words; in a template with placeholders, what follows a
+        number being its unit."""
+        if not template:
+            return self._exact[numbers]
+        ids = self._template[numbers]
+        after = np.nonzero((ids[:-1] == self.digits) & (ids[1:] != self.digits))[0] + 1
+        ids[after] = self.unit
+        return ids
+
+
+class Items:
+    """A block of items: words, and windows of templates and words with the places
+    where they occur."""
+
+    def __init__(self, rows: list[tuple[int, str]], vocabulary: Vocabulary | None = None, window: int = WINDOW, exact: int = EXACT) -> None:
+        self.vocabulary = vocabulary or Vocabulary(t for _, t in rows)
+        self.keys = [k for k, _ in rows]
+        self.words = [words(t) for _, t in rows]
+        self._sets = [self._index(False, exact), self._index(True, window)]
+
+    def _index(self, template: bool, n: int) -> tuple:
+        v = self.vocabulary
+        hashes = [_windows(v.ids(v.numbers(ws), template), n) for ws in self.words]
+        h = np.concatenate(hashes) if hashes else np.empty(0, dtype=np.uint64)
+        item = np.repeat(np.arange(len(hashes)), [len(x) for x in hashes])
+        at = np.concatenate([np.arange(len(x)) for x in hashes]) if hashes else np.empty(0, dtype=np.int64)
+        order = np.argsort(h, kind="stable")
+        return n, template, h[order], item[order].astype(np.int32), at[order].astype(np.int32)
 
     def candidates(self, texts: list[list[str]]) -> Iterator[tuple[int, int, int, int]]:
-        """(text, item, shift, position) of the template windows that agree, where
-        text position = passage position + shift. All texts are hashed at once."""
-        gap = np.zeros(self.window, dtype=np.uint64)
-        parts: list[np.ndarray] = []
-        for ws in texts:
-            parts += [self.encode(ws), gap]
-        if not parts or not len(self.sorted):
-            return
-        starts = np.cumsum([0] + [len(ws) + self.window for ws in texts])
-        h = _windows(np.concatenate(parts), self.window)
-        where = np.searchsorted(self.sorted, h)
-        where[where == len(self.sorted)] = 0
-        hits = np.nonzero(self.sorted[where] == h)[0]
-        text_of = np.searchsorted(starts, hits, side="right") - 1
-        for t, p in zip(text_of.tolist(), hits.tolist(), strict=True):
-            q = p - int(starts[t])
-            for item, k in self.at[int(h[p])]:
-                yield t, item, q - k, q
-
-
-def longest_run(doc: list[str], item: list[str], shift: int, at: int, names: frozenset[str] = frozenset()) -> tuple[int, int, int]:
-    """(words, slots kept, slots changed) of the item's passage that run on in the
-    text around position ``at``. A slip in a single word (another word, one too
-    many, one missing) doesn't end the run if two right words follow. Slots are
-    the passage's numbers and names: in a quotation they are its own, in a
-    re-parameterised copy others."""
-    right = kept = changed = 0
+        """(text, item, shift, position) of the windows that agree, in this order,
+        where text position = passage position + shift. All texts are hashed at
+        once, with gaps that no window of a passage runs across."""
+        gap = max(n for n, *_ in self._sets)
+        starts = np.cumsum([0] + [len(ws) + gap for ws in texts])
+        numbers = np.zeros(starts[-1], dtype=np.int64)
+        between = np.ones(starts[-1], dtype=bool)
+        for s, ws in zip(starts.tolist(), texts, strict=False):
+            numbers[s : s + len(ws)] = self.vocabulary.numbers(ws)
+            between[s : s + len(ws)] = False
+        found = []
+        for n, template, hashes, item, at in self._sets:
+            ids = self.vocabulary.ids(numbers, template)
+            ids[between] = 0
+            h = _windows(ids, n)
+            lo = np.searchsorted(hashes, h, side="left")
+            hits = np.nonzero(hashes[np.minimum(lo, max(len(hashes) - 1, 0))] == h)[0] if len(hashes) else np.empty(0, dtype=np.int64)
+            lo = lo[hits]
+            count = np.searchsorted(hashes, h[hits], side="right") - lo
+            hits = np.repeat(hits, count)
+            inner = np.arange(len(hits)) - np.repeat(np.cumsum(count) - count, count)
+            slot = np.repeat(lo, count) + inner
+            text = np.searchsorted(starts, hits, side="right") - 1
+            place = hits - starts[text]
+            found.append(np.stack([text, item[slot].astype(np.int64), place - at[slot], place]))
+        all_ = np.concatenate(found, axis=1)
+        yield from zip(*all_[:, np.lexsort(all_[::-1])].tolist(), strict=True)
+
+
+_RIGHT, _SLOT_KEPT, _SLOT_CHANGED, _SLIP = 0, 1, 2, 3
+
+
+def run_around(doc: list[str], item: list[str], shift: int, at: int, names: frozenset[str] = frozenset()) -> tuple[list[int], int]:
+    """(what became of each word of the item's passage that runs on in the text
+    around position ``at``, last text position of the run). A slip in a single word
+    (another word, one too many, one missing) doesn't end the run if two right
+    words follow. Slots are the passage's numbers and names."""
+    sides: list[list[int]] = []
+    end = at
     for step in (1, -1):
+        marks: list[int] = []
         i, j = (at, at - shift) if step > 0 else (at - 1, at - shift - 1)
         while 0 <= i < len(doc) and 0 <= j < len(item):
             w = item[j]
             if doc[i] == w:
-                right += 1
-                kept += w in names or w[0].isdigit()
+                marks.append(_SLOT_KEPT if w in names or w[0].isdigit() else _RIGHT)
                 i, j = i + step, j + step
                 continue
 
-            def ahead(a: int, b: int) -> bool:
+            def ahead(a: int, b: int, step: int = step) -> bool:
                 n = 0
                 while n < 2 and 0 <= a < len(doc) and 0 <= b < len(item) and doc[a] == item[b]:
                     a, b, n = a + step, b + step, n + 1
@@ -139,73 +183,104 @@ def longest_run(doc: list[str], item: list[str], shift: int, at: int, names: fro
 
             for da, db in ((1, 1), (1, 0), (0, 1), (2, 1), (1, 2)):
                 if ahead(i + step * da, j + step * db):
-                    # A wrong word stands for one of the passage's; the run of the passage goes on over it.
-                    right += min(da, db)
-                    changed += min(da, db) and (w in names or w[0].isdigit())
+                    # A wrong word stands for one of the passage's; the run goes on over it.
+                    if min(da, db):
+                        marks.append(_SLOT_CHANGED if w in names or w[0].isdigit() else _SLIP)
                     i, j = i + step * da, j + step * db
                     break
             else:
                 break
-    return right, kept, changed
+        sides.append(marks)
+        if step > 0:
+            end = i
+    return sides[1][::-1] + sides[0], end
+
+
+def kind_of(marks: list[int], min_run: int = MIN_RUN) -> str | None:
+    """Verbatim if some stretch of ``min_run`` words kept its slots, KEPT for each
+    changed one; re-parameterised if only the run is long enough; None if not."""
+    if len(marks) < min_run:
+        return None
+    kept = changed = 0
+    for n, m in enumerate(marks):
+        kept += m == _SLOT_KEPT
+        changed += m == _SLOT_CHANGED
+        if n >= min_run:
+            out = marks[n - min_run]
+            kept -= out == _SLOT_KEPT
+            changed -= out == _SLOT_CHANGED
+        if n >= min_run - 1 and kept >= KEPT * changed:
+            return VERBATIM
+    return CHANGED
 
 
-def leaks_in(texts: list[list[str]], items: Items, min_run: int = MIN_RUN) -> set[tuple[int, int]]:
-    """(text, item) where the text holds at least ``min_run`` consecutive words of
-    the item's passage and the slots in them are the passage's own, but for slips."""
-    found: set[tuple[int, int]] = set()
-    checked: dict[tuple[int, int, int], int] = {}
+def leaks_in(texts: list[list[str]], items: Items, min_run: int = MIN_RUN) -> dict[tuple[int, int], str]:
+    """{(text, item): kind} where the text holds at least ``min_run`` consecutive
+    words of the item's passage, placeholders for their slots."""
+    found: dict[tuple[int, int], str] = {}
+    before, until = None, -1
     for t, item, shift, p in items.candidates(texts):
-        # Windows of one run follow each other on its diagonal; they are checked once.
-        if (t, item) in found or p < checked.get((t, item, shift), -1):
+        if found.get((t, item)) == VERBATIM or (before == (t, item, shift) and p < until):
             continue
-        right, kept, changed = longest_run(texts[t], items.words[item], shift, p, items.names)
-        checked[t, item, shift] = p + items.window
-        if right >= min_run and kept >= KEPT * changed:
-            found.add((t, item))
+        marks, until = run_around(texts[t], items.words[item], shift, p, items.vocabulary.names)
+        before = (t, item, shift)
+        kind = kind_of(marks, min_run)
+        if kind:
+            found[t, item] = VERBATIM if VERBATIM in (kind, found.get((t, item))) else CHANGED
     return found
 
 
-def _blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """Items in blocks of bounded size, one block on the driver at a time."""
+def _rows(items: DataFrame) -> Iterator[tuple[int, str]]:
+    """The query set in a fixed order, a partition on the driver at a time."""
+    held = items.select("item_id", "passage").filter("item_id is not null and passage is not null").distinct().orderBy("item_id", "passage")
+    yield from ((r.item_id, r.passage) for r in held.toLocalIterator())
+
+
+def _blocks(rows: Iterator[tuple[int, str]]) -> Iterator[list[tuple[int, str]]]:
     block: list[tuple[int, str]] = []
     chars = 0
-    for r in items.select("item_id", "passage").filter("item_id is not null and passage is not null").distinct().toLocalIterator():
-        if block and (len(block) >= BLOCK_ITEMS or chars + len(r.passage) > BLOCK_CHARS):
+    for item_id, passage in rows:
+        if block and (len(block) >= BLOCK_ITEMS or chars + len(passage) > BLOCK_CHARS):
             yield block
             block, chars = [], 0
-        block.append((r.item_id, r.passage))
-        chars += len(r.passage)
+        block.append((item_id, passage))
+        chars += len(passage)
     if block:
         yield block
 
 
-def find_leaks(documents: DataFrame, items: DataFrame, min_run: int = MIN_RUN, window: int = WINDOW) -> DataFrame:
-    """Distinct (item_id, doc_id). Null and empty texts hold nothing; passages of
-    fewer than ``min_run`` words can't be found; of an item id on several rows
-    each passage counts, under its id. A block of items is at most 2,000 passages
-    or 4 million characters, the bound of what goes to each task."""
+def find_leaks(documents: DataFrame, items: DataFrame, min_run: int = MIN_RUN, window: int = WINDOW, exact: int = EXACT) -> DataFrame:
+    """Distinct (item_id, doc_id, kind), one kind a pair. Null and empty texts hold
+    nothing; passages of fewer than ``min_run`` words can't be found; of an item id
+    on several rows each passage counts, under its id. A block of items is at most
+    2,000 passages or 4 million characters, and a pass takes eight blocks, the
+    bound of what goes to each task besides the words of all items, which are taken
+    first."""
     spark = documents.sparkSession
     slim = documents.select("doc_id", "text")
+    vocabulary = Vocabulary(t for _, t in _rows(items))
+    blocks = (Items(block, vocabulary, window, exact) for block in _blocks(_rows(items)))
     out = None
-    for block in _blocks(items):
-        keyed = dict(enumerate(block))
-        index = spark.sparkContext.broadcast((Items([(k, t) for k, (_, t) in keyed.items()], window), [i for _, (i, _) in keyed.items()]))
+    while some := list(islice(blocks, PASS_BLOCKS)):
+        held = spark.sparkContext.broadcast(some)
 
-        def scan(batches: Iterator, index=index) -> Iterator:  # noqa: ANN001
+        def scan(batches: Iterator, held=held) -> Iterator:  # noqa: ANN001
             import pyarrow as pa
 
-            its, item_ids = index.value
             for b in batches:
                 doc_ids = b.column(0).to_pylist()
-                found: list[tuple[int, int]] = []
+                rows: list[tuple[int, int, str]] = []
                 for lo in range(0, len(doc_ids), 512):
-                    texts = [words(t) for t in b.column(1)[lo : lo + 512].to_pylist()]
-                    found += [(item_ids[k], doc_ids[lo + t]) for t, k in sorted(leaks_in(texts, its, min_run))]
-                columns = [pa.array([x[c] for x in found], pa.int64()) for c in (0, 1)]
-                yield pa.RecordBatch.from_arrays(columns, ["item_id", "doc_id"])
+                    read = [(lo + n, ws) for n, t in enumerate(b.column(1)[lo : lo + 512].to_pylist()) for ws in readings(t)]
+                    for index in held.value:
+                        leaks = leaks_in([ws for _, ws in read], index, min_run)
+                        rows += [(index.keys[i], doc_ids[read[t][0]], kind) for (t, i), kind in leaks.items()]
+                types = (pa.int64(), pa.int64(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in rows], ty) for c, ty in enumerate(types)], ["item_id", "doc_id", "kind"])
 
-        part = slim.mapInArrow(scan, "item_id bigint, doc_id bigint")
+        part = slim.mapInArrow(scan, "item_id bigint, doc_id bigint, kind string")
         out = part if out is None else out.unionByName(part)
     if out is None:
-        return slim.select(F.lit(None).cast("bigint").alias("item_id"), F.col("doc_id").cast("bigint")).limit(0)
-    return out.distinct()
+        return slim.select(F.lit(None).cast("bigint").alias("item_id"), F.col("doc_id").cast("bigint"), F.lit(None).cast("string").alias("kind")).limit(0)
+    # "verbatim" is the greater text: it wins where passages of one item differ in kind.
+    return out.groupBy("item_id", "doc_id").agg(F.max("kind").alias("kind"))

@@ -15,23 +15,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: How the vocabulary's tokenizer cuts texts before merging (a fixed value), and
+#: the vocabulary used where none is named.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
 @lru_cache(maxsize=2)
 def _encoder(vocabulary: str):  # noqa: ANN202
     """tiktoken encoder of a vocabulary file; one for each worker process."""
     import base64
 
-    import public_tokenizers as public
     import tiktoken
 
-    path = vocabulary if "/" in vocabulary else public.path(vocabulary)
-    with open(path, "rb") as f:
+    with open(vocabulary, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("tokens", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("tokens", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def token_counts(documents: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", carry: list[str] | None = None) -> DataFrame:
+def token_counts(documents: DataFrame, vocabulary: str = VOCABULARY, carry: list[str] | None = None) -> DataFrame:
     """(doc_id, source, n_tokens, <carry>): whole texts, 0 for null and empty ones.
-    ``vocabulary`` is a file's name among the public tokenizers or its path."""
+    ``vocabulary`` is the path of a file of byte-level BPE ranks, there on every
+    worker."""
     carry = carry or []
 
     def count(batches: Iterator) -> Iterator:
@@ -83,7 +88,7 @@ def copies(rate, key, seed: int):  # noqa: ANN001, ANN201
     return (F.floor(rate) + F.when(draw < rate - F.floor(rate), 1).otherwise(0)).cast("int")
 
 
-def mix(documents: DataFrame, targets: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", seed: int = 17) -> tuple[DataFrame, DataFrame]:
+def mix(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULARY, seed: int = 17) -> tuple[DataFrame, DataFrame]:
     """(training set, shares).
 
     training set   (doc_id, source, n_tokens, copy, <the document's other columns,
