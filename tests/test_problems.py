@@ -12,7 +12,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidewell.functions.instants import with_parsed, with_utc
-from tidewell.operators import asof, changefeed, exactly_once, history, late_events, orphans, timestamps
+from tidewell.operators import asof, changefeed, exactly_once, history, late_events, orphans, slices, timestamps
 
 SMALL = "/root/testdata/sf0.001"
 EVENT = "event_key string, event_timestamp string, ingested_at string, kafka_timestamp timestamp, origin_zone string"
@@ -59,17 +59,32 @@ def test_instants_keep_rows_and_foreign_columns(spark):
     assert timestamps.with_instants(spark.createDataFrame([], EVENT)).count() == 0
 
 
-def test_offset_history_is_estimated_where_the_declared_one_is_wrong(spark):
+@pytest.mark.parametrize("n", [15, 300])
+def test_offset_history_is_estimated_for_writers_without_zone(spark, n):
+    """The same for few values and many; a declared zone stays and is reported next
+    to its estimate."""
     base = datetime(2025, 11, 3, 12, tzinfo=UTC)
     data = []
-    for i in range(300):
+    for i in range(n):
         at = base + timedelta(hours=i)
-        data.append(("wrong", (at + timedelta(hours=3, minutes=30)).strftime("%Y-%m-%dT%H:%M:%S"), "Europe/Berlin", at + timedelta(seconds=5)))
-        data.append(("right", (at + timedelta(hours=3, minutes=30)).strftime("%Y-%m-%dT%H:%M:%S"), "Asia/Tehran", at + timedelta(seconds=5)))
+        local = (at + timedelta(hours=3, minutes=30)).strftime("%Y-%m-%dT%H:%M:%S")
+        data += [("a", local, z, at + timedelta(seconds=5)) for z in (None, "Europe/Berlin", "Asia/Tehran")]
     df = spark.createDataFrame(data, "k string, v string, z string, a timestamp")
     votes = timestamps.zone_votes(with_parsed(df, {"p": "v"}), "p", "z", F.col("a"))
-    got = {r.writer: r.zone for r in timestamps.offset_histories(votes, timestamps.candidate_zones(df, "z")).collect()}
-    assert got == {"Europe/Berlin": "Asia/Tehran", "Asia/Tehran": "Asia/Tehran"}
+    got = {r.writer: (r.declared, r.estimated, r.zone) for r in timestamps.offset_histories(votes, timestamps.candidate_zones(df, "z")).collect()}
+    assert got == {
+        "Europe/Berlin": ("Europe/Berlin", "Asia/Tehran", "Europe/Berlin"), "Asia/Tehran": ("Asia/Tehran",) * 3, timestamps.UNDECLARED: (None, "Asia/Tehran", "Asia/Tehran"),
+    }
+    out = timestamps.with_instants(df.select(F.lit("e").alias("event_key"), F.col("v").alias("event_timestamp"), F.lit(None).cast("string").alias("ingested_at"), F.col("z").alias("origin_zone"), F.col("a").alias("kafka_timestamp")))
+    late = F.unix_micros("kafka_timestamp") - F.col("event_timestamp_us")
+    assert out.filter("origin_zone is null or origin_zone = 'Asia/Tehran'").filter(late != 5_000_000).count() == 0
+
+
+def test_few_values_do_not_move_a_writer_without_zone(spark):
+    at = datetime(2025, 11, 3, 12, tzinfo=UTC)
+    df = spark.createDataFrame([("2025-11-03T15:29:55", None, at), ("2025-11-03T11:59:58", "Asia/Tehran", at)], "v string, z string, a timestamp")
+    votes = timestamps.zone_votes(with_parsed(df, {"p": "v"}), "p", "z", F.col("a"))
+    assert {r.writer: r.zone for r in timestamps.offset_histories(votes, timestamps.candidate_zones(df, "z")).collect()}[timestamps.UNDECLARED] == "UTC"
 
 
 def test_k_slack_states_and_values(spark):
@@ -80,7 +95,10 @@ def test_k_slack_states_and_values(spark):
     assert dict(rows(b.filter("k not in ('b')"), "k", "state")) == {"a": "in_period", "c": "correction", "d": "rejected", "e": "in_period", "f": "untimed", "g": "in_period"}
     assert rows(late_events.corrections(b, "k")) == [("b", 19700101), ("c", 19700101)]
     days = rows(late_events.provisional(b, "k").filter("period = 0"), "epoch", "events", "total")
-    assert days == [(0, 2, 2), (24 * h, 1, 3), (72 * h, 1, 4)]
+    # "b" came again on the day after its first copy: the same total is published again.
+    assert days == [(0, 2, 2), (24 * h, 1, 3), (48 * h, 0, 3), (72 * h, 1, 4)]
+    assert rows(late_events.rejected(b, "k")) == [("d", 19700101, 72)]
+    assert late_events.corrections(b.limit(0), "k").count() == late_events.release(b.limit(0), "k").count() == 0
     final = {r.date_sk: r for r in late_events.release(b, "k").collect()}
     assert (final[19700101].n_events, final[19700101].first_key, final[19700101].last_key, final[19700101].longest_pause_us) == (4, "a", "c", 5 * h)
 
@@ -94,7 +112,7 @@ def _runs(points):
     return out
 
 
-@pytest.mark.parametrize("leaf", [1, 3, 50, 10_000])
+@pytest.mark.parametrize("leaf", [5, 16, 40])
 def test_tree_reduction_equals_a_scan(spark, leaf):
     rnd = random.Random(leaf)
     points = [(k, t, rnd.choice([1, 1, 2, None])) for k in ("hot", "b", "c") for t in rnd.sample(range(500), 200 if k == "hot" else 7)]
@@ -104,6 +122,15 @@ def test_tree_reduction_equals_a_scan(spark, leaf):
     assert got == sorted(_runs(points), key=key)
 
 
+def test_an_outlier_in_time_adds_no_rounds(spark):
+    day = 86_400_000_000
+    points = [("a", i * day, i // 3) for i in range(40)] + [("a", -719_162 * day, 7), ("b", 2_932_896 * day, 1)]
+    df = spark.createDataFrame(points, "k string, t bigint, v int")
+    out = history.coalesce_runs(df, "k", "t", "v")
+    assert {tuple(r) for r in out.select("k", "v", "start", "stop").collect()} == set(_runs(points))
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange") <= 24
+
+
 def test_history_of_nothing(spark):
     df = spark.createDataFrame([], "k string, t bigint, v int")
     assert history.coalesce_runs(df, "k", "t", "v").count() == 0
@@ -164,21 +191,40 @@ def test_orphans_by_runs_equal_brute_force(spark):
     r = spark.createDataFrame(refs, "id string, ref bigint, at timestamp").withColumn("key", exactly_once.norm_id("id"))
     p = spark.createDataFrame(parents, "k bigint, at timestamp")
     g = spark.createDataFrame(list(stones.items()), "key bigint, gone_at timestamp")
-    for stretches in (1, 7):
-        got = orphans.find_orphans(r, "ref", "key", "at", p, "k", "at", g, stretches=stretches)
+    for hot_rows in (1, 3, 10**6):
+        got = orphans.find_orphans(r, "ref", "key", "at", p, "k", "at", g, hot_rows=hot_rows)
         assert {tuple(x) for x in got.collect()} == brute.p5(refs, parents, stones)
     none = spark.createDataFrame([], "k bigint, at timestamp")
     assert {x.orphan_kind for x in orphans.find_orphans(r, "ref", "key", "at", none, "k", "at", g).collect()} == {"missing", "deleted"}
 
 
 def test_key_runs_compress_neighbours(spark):
-    p = spark.createDataFrame([(k,) for k in [1, 2, 3, 3, 7, 8, None]], "k bigint")
-    runs = orphans.key_runs(p, "k", (1, 8), 1)
-    assert rows(runs, "start", "stop") == [(1, 3), (7, 8)]
+    p = spark.createDataFrame([(k, None) for k in [1, 2, 3, 3, 7, 8, None]], "k bigint, t timestamp")
+    runs = orphans.key_runs(orphans.parent_ages(p, "k", "t").coalesce(1))
+    assert sum(r.n_keys for r in runs.collect()) == 5
+    assert all(r.stop - r.start + 1 == r.n_keys for r in runs.collect())
+
+
+def test_a_sentinel_key_does_not_gather_the_others(spark):
+    p = spark.range(100_000).select(F.col("id").alias("key"), F.lit(None).cast("timestamp").alias("first"), F.lit(None).cast("timestamp").alias("last"))
+    p = p.unionByName(p.limit(1).withColumn("key", F.lit(2**62)))
+    sizes = [r["count"] for r in slices.ordered_slices(p, ["key"]).groupBy("slice").count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 60_000
+
+
+@pytest.mark.parametrize("hot_rows", [2, 1000])
+def test_hot_keys_join_the_same_in_several_tasks(spark, hot_rows):
+    left = spark.createDataFrame([("hot", i) for i in range(50)] + [("b", 1), ("c", 2), (None, 3)], "k string, x int")
+    right = spark.createDataFrame([("hot", "H"), ("b", "B")], "k string, y string")
+    counts = left.groupBy("k").agg(F.count("*").alias("n"))
+    for how in ("inner", "left"):
+        want = left.join(right, "k", how)
+        got = slices.join_hot(left, right, "k", counts, how, hot_rows)
+        assert want.count() == got.count() and want.exceptAll(got.select(want.columns)).count() == 0
 
 
 def _apply(base, changes):
-    state = {k: 0 for k in base}
+    state = {k: None for k in base}
     for k, lsn, op in sorted(set(changes), key=lambda c: c[1]):
         if op == "i":
             state[k] = lsn
@@ -193,8 +239,8 @@ def _apply(base, changes):
 @pytest.mark.parametrize("block", [1, 3, 1 << 16])
 def test_signed_multiset_equals_replay(spark, block):
     rnd = random.Random(block)
-    base = ["A", "B", "HOT"]
-    changes = [(rnd.choice(["A", "B", "C", "HOT", "HOT"]), lsn, rnd.choice("iuud")) for lsn in range(1, 120)]
+    base = ["A", "B", "HOT", "UNTOUCHED"]
+    changes = [(rnd.choice(["A", "B", "C", "HOT", "HOT"]), lsn, rnd.choice("iuud")) for lsn in range(-3, 120)]
     sent = changes + rnd.sample(changes, 40)
     rnd.shuffle(sent)
     ops = {"i": [" Insert", "c"], "u": ["UPDATE ", "u"], "d": ["D", None]}
@@ -214,8 +260,8 @@ def test_fields_follow_the_last_incarnation(spark):
     c = changefeed.distinct_changes(spark.createDataFrame(raw, "table_name string, record_key string, commit_lsn bigint, op string, payload_json string"))
     b = spark.createDataFrame([("t", "A", "f0", "g0"), ("t", "B", "f0", "g0"), ("t", "C", "f0", "g0")], "table_name string, record_key string, f string, g string")
     live = changefeed.current_images(c, b.select("table_name", "record_key"))
-    assert sorted(tuple(r) for r in changefeed.current_fields(c, b, live, ["f", "g"]).fillna("-").collect()) == [
-        ("t", "A", 2, "x", "y"), ("t", "B", 5, "m", "-"), ("t", "C", 0, "f0", "g0"),
+    assert sorted(tuple(r) for r in changefeed.current_fields(c, b, live, ["f", "g"]).fillna("-", ["f", "g"]).collect()) == [
+        ("t", "A", 2, "x", "y"), ("t", "B", 5, "m", "-"), ("t", "C", None, "f0", "g0"),
     ]
 
 
@@ -226,8 +272,8 @@ def test_a_null_in_the_payload_is_a_value(spark):
     c = changefeed.distinct_changes(spark.createDataFrame(raw, "table_name string, record_key string, commit_lsn bigint, op string, payload_json string"))
     b = spark.createDataFrame([("t", k, "f0", "g0") for k in "ABCD"], "table_name string, record_key string, f string, g string")
     live = changefeed.current_images(c, b.select("table_name", "record_key"))
-    assert sorted(tuple(r) for r in changefeed.current_fields(c, b, live, ["f", "g"]).fillna("-").collect()) == [
-        ("t", "A", 1, "-", "g0"), ("t", "B", 3, "-", "y"), ("t", "C", 5, "z", "g0"), ("t", "D", 0, "f0", "g0"),
+    assert sorted(tuple(r) for r in changefeed.current_fields(c, b, live, ["f", "g"]).fillna("-", ["f", "g"]).collect()) == [
+        ("t", "A", 1, "-", "g0"), ("t", "B", 3, "-", "y"), ("t", "C", 5, "z", "g0"), ("t", "D", None, "f0", "g0"),
     ]
 
 
@@ -245,7 +291,7 @@ def _replay(spark, folder):
             k, row = (name, brute.norm(r[key])), {f: r[f] for f in fields}
             rank = [(x is not None, x or 0) for x in [r["at"]]] + [(x is not None, x or "") for x in row.values()]
             if k[1] is not None and (k not in latest or rank > latest[k]):
-                latest[k], state[k] = rank, (0, row)
+                latest[k], state[k] = rank, (None, row)
     ops = {"i": "i", "insert": "i", "c": "i", "create": "i", "u": "u", "update": "u", "d": "d", "delete": "d"}
     sent = spark.read.parquet(f"{folder}/raw_change.parquet").select("table_name", "record_key", "commit_lsn", "op", "payload_json").collect()
     for r in sorted((r for r in sent if r.commit_lsn is not None), key=lambda r: r.commit_lsn):
@@ -289,3 +335,19 @@ def test_asof_equals_brute_force(spark, hot_rows):
     assert sorted((r.i, r.version_id) for r in got.collect()) == sorted(want)
     assert asof.asof_versions(e.limit(0), v, [F.col("snap")], buckets=3).count() == 0
     assert asof.asof_versions(e, v.limit(0), [F.col("snap")], buckets=3).filter("version_id is null").count() == 150
+
+
+@pytest.mark.parametrize("hot_rows", [5, 200_000])
+def test_asof_uses_no_version_before_it_was_known(spark, hot_rows):
+    rnd = random.Random(hot_rows)
+    versions = [("a", rnd.randrange(40), rnd.choice([None, rnd.randrange(80)]), i, rnd.choice([True, False]), rnd.choice([None, rnd.randrange(60)])) for i in range(50)]
+    events = [("a", rnd.randrange(70), i) for i in range(80)] + [("a", 30, 100 + i) for i in range(40)]
+    v = spark.createDataFrame(versions, "entity string, start_us bigint, stop_us bigint, version_id bigint, snap boolean, known_us bigint")
+    e = spark.createDataFrame(events, "entity string, at_us bigint, i int")
+    want = set()
+    for _, t, i in events:
+        fit = [x for x in versions if max(x[1], x[1] if x[5] is None else x[5]) <= t]
+        best = max(fit, key=lambda x: (x[1], x[4], 1 << 62 if x[2] is None else x[2], x[3]), default=None)
+        want.add((i, best and best[3]))
+    got = asof.asof_versions(e, v, [F.col("snap")], buckets=3, hot_rows=hot_rows)
+    assert sorted((r.i, r.version_id) for r in got.collect()) == sorted(want)

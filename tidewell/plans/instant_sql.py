@@ -19,7 +19,7 @@ _FORMS = (
     ("mail", rf"(?:[A-Za-z]{{3,9}}, *)?(\d{{1,2}}) ([A-Za-z]{{3}})[a-z]* (\d{{4}})(?: +{_CLOCK})? *{_ZONE}", "d m y h mi s f z b"),
     ("us", rf"([A-Za-z]{{3}})[a-z]*\.? (\d{{1,2}}), (\d{{4}})(?:,? +{_CLOCK} *([AaPp][Mm])?)?", "m d y h mi s f ap"),
 )
-_WHITE = "E' \\t\\n\\r\\f\\x0B\\u00A0'"
+_WHITE = "' \t\n\r\f\u000b\u00a0'"
 
 
 def _fields(form: str, groups: str) -> str:
@@ -65,7 +65,7 @@ src AS (
   FROM localized
 ), zoned AS (
   SELECT *, CASE WHEN off IS NULL AND NOT signed AND lus IS NOT NULL THEN list_distinct(list_filter(
-      [epoch_us(timezone(at_zone, l)) + k * 1800000000 for k in [-2, -1, 0, 1, 2]], lambda u: epoch_us(timezone(at_zone, make_timestamptz(u))) = lus)) END AS cands
+      [epoch_us(timezone(at_zone, l)) + k::BIGINT * 1800000000 for k in [-2, -1, 0, 1, 2]], lambda u: epoch_us(timezone(at_zone, make_timestamptz(u))) = lus)) END AS cands
   FROM placed
 ), inst AS (
   SELECT s, zone, CASE

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.ids import date_sk, norm_id, strip
 from tidewell.operators import asof, changefeed, exactly_once, history, late_events, orphans, timestamps
+from tidewell.plans.instant_sql import INSTANTS
 from tidewell.sources.tables import table
 
 # ------------------------------------------------------------------ p1
@@ -363,6 +364,56 @@ SELECT i.order_item_id, epoch_us(i.order_timestamp) AS at_us, CASE WHEN b.stop_u
 FROM i LEFT JOIN b USING (n)
 """
 
+_CANON = "\\d{4}-\\d\\d-\\d\\dT\\d\\d:\\d\\d:\\d\\d\\.\\d{3}Z"
+_P4 = (
+    "WITH " + INSTANTS
+    + f"""SELECT DISTINCT event_key, field_name, epoch_us FROM (
+  SELECT event_key, 'event_timestamp' AS field_name, event_timestamp_us AS epoch_us, event_timestamp AS s FROM timed
+  UNION ALL SELECT event_key, 'ingested_at', ingested_at_us, ingested_at FROM timed)
+WHERE epoch_us IS NOT NULL AND NOT regexp_full_match(s, '{_CANON}')"""
+)
+_DAY_US = 86_400_000_000
+_P1 = (
+    "WITH " + INSTANTS
+    + f""", b AS (
+  SELECT event_key, coalesce(event_timestamp_us, epoch_us(kafka_timestamp)) AS e, coalesce(epoch_us(kafka_timestamp), ingested_at_us) AS a FROM timed
+), k AS (
+  SELECT *, e - e % {_DAY_US} AS period, greatest(a - a % {_DAY_US}, e - e % {_DAY_US}) AS epoch, strftime(make_timestamp(e), '%Y%m%d')::INT AS date_sk FROM b WHERE e IS NOT NULL AND a IS NOT NULL
+), held AS (
+  SELECT period, date_sk, event_key, min(e) AS e FROM k WHERE a - e <= {72 * 3_600_000_000} GROUP BY ALL
+)
+"""
+)
+_SK = "strftime(make_timestamp({}), '%Y%m%d')::INT"
+
+#: Current state of the three tables: each field's value in the last change that
+#: carries it since the last insert, else the base's where nothing was inserted.
+_STATE_FIELDS = [f for fs in _P6_FIELDS.values() for f in fs]
+_P6_STATE = (
+    _P6_SQL[: _P6_SQL.index("), k AS (")].replace("SELECT DISTINCT table_name, nullif(upper(trim(record_key", "SELECT DISTINCT payload_json, table_name, nullif(upper(trim(record_key")
+    + """), live AS (SELECT k.table_name, k.record_key, k.last_lsn AS commit_lsn FROM (
+    SELECT table_name, record_key, max(commit_lsn) AS last_lsn, max_by(op, commit_lsn) FILTER (WHERE op <> 'u') AS last_life
+    FROM c WHERE record_key IS NOT NULL AND op IS NOT NULL GROUP BY ALL) k LEFT JOIN ids USING (table_name, record_key)
+  WHERE k.last_life = 'i' OR (k.last_life IS NULL AND ids.record_key IS NOT NULL)
+), untouched AS (SELECT ids.*, NULL::BIGINT AS commit_lsn FROM ids ANTI JOIN (SELECT * FROM c WHERE op IS NOT NULL) USING (table_name, record_key)
+), born AS (SELECT table_name, record_key, max(commit_lsn) FILTER (WHERE op = 'i') AS born FROM c WHERE op IS NOT NULL GROUP BY ALL
+), since AS (SELECT c.*, b.born FROM c JOIN born b USING (table_name, record_key) WHERE c.op IN ('i', 'u') AND (b.born IS NULL OR c.commit_lsn >= b.born)
+), news AS (SELECT table_name, record_key, any_value(born) AS born, """
+    + ", ".join(
+        f"bool_or(coalesce(json_exists(payload_json, '$.{f}'), false)) AS has_{f}, arg_max_null(json_extract_string(payload_json, '$.{f}'), commit_lsn) FILTER (WHERE json_exists(payload_json, '$.{f}')) AS new_{f}"
+        for f in _STATE_FIELDS
+    )
+    + " FROM since GROUP BY 1, 2), base AS ("
+    + " UNION ALL BY NAME ".join(
+        f"SELECT '{name}' AS table_name, nullif(upper(trim({key}, E' \\t\\n\\r')), '') AS record_key, {', '.join(f'{f}::VARCHAR AS {f}' for f in _P6_FIELDS[name])} FROM {name} WHERE trim({key}, E' \\t\\n\\r') <> '' "
+        f"QUALIFY row_number() OVER (PARTITION BY record_key ORDER BY source_kafka_timestamp DESC NULLS LAST, {', '.join(f'{name}.{f} DESC NULLS LAST' for f in _P6_FIELDS[name])}) = 1"
+        for name, key in _P6
+    )
+    + ") SELECT a.table_name, a.record_key, a.commit_lsn, "
+    + ", ".join(f"CASE WHEN n.has_{f} THEN n.new_{f} WHEN n.born IS NULL THEN b.{f} END AS {f}" for f in _STATE_FIELDS)
+    + " FROM (SELECT * FROM live UNION ALL BY NAME SELECT * FROM untouched) a LEFT JOIN news n USING (table_name, record_key) LEFT JOIN base b USING (table_name, record_key)"
+)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_provisional_days": p1_provisional_days,
@@ -385,6 +436,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "p1_found": _P1 + "SELECT DISTINCT event_key, date_sk FROM k WHERE epoch > period AND a - e <= 259200000000",
+    "p1_provisional_days": _P1
+    + f""", firsts AS (SELECT period, event_key, min(epoch) AS first FROM k WHERE a - e <= 259200000000 GROUP BY ALL),
+each AS (SELECT DISTINCT period, event_key, epoch FROM k WHERE a - e <= 259200000000),
+steps AS (SELECT period, epoch, count(*) FILTER (WHERE epoch = first) AS events FROM each JOIN firsts USING (period, event_key) GROUP BY ALL)
+SELECT {_SK.format("period")} AS date_sk, {_SK.format("epoch")} AS as_of_date_sk, events, CASE WHEN epoch > period THEN events ELSE 0 END AS n_corrections,
+  (sum(events) OVER (PARTITION BY period ORDER BY epoch))::BIGINT AS total FROM steps""",
+    "p1_final_days": _P1
+    + """, g AS (SELECT *, e - lag(e) OVER (PARTITION BY period ORDER BY e, event_key) AS pause FROM held)
+SELECT date_sk, count(*) AS n_events, arg_min(event_key, (e, event_key)) AS first_key, arg_max(event_key, (e, event_key)) AS last_key, max(pause) AS longest_pause_us FROM g GROUP BY period, date_sk""",
+    "p1_rejected_events": _P1 + "SELECT DISTINCT event_key, date_sk, (a - e) // 3600000000 AS hours_late FROM k WHERE a - e > 259200000000",
+    "p4_found": _P4,
+    "p6_current_state": _P6_STATE,
     "p2_found": _P2 + "SELECT product_id, at_us AS effective_from_us FROM runs",
     "p2_price_history": _P2
     + "SELECT product_id, price, at_us AS effective_from_us, lead(at_us) OVER (PARTITION BY product_id ORDER BY at_us) AS effective_to_us FROM runs",
