@@ -41,7 +41,7 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
-    return stuffing.find_stuffed(table(spark, d, "documents", ["doc_id", "text"]))
+    return stuffing.find_stuffed(table(spark, d, "documents", ["doc_id", "text", "lang"]))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

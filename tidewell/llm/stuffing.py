@@ -204,6 +204,7 @@ def common_words(documents: DataFrame, lang: str | None = "lang") -> frozenset[s
     counted over all whole documents. A language with few documents gets UNSEEN
     more without any words, so that it takes its words from many texts. Spelling
     variants of a language's name are the same; unknown ones are one group.
+    Without a column of languages the corpus is taken as of one language.
 
     What comes to the driver is bounded: a language has at most (words of a
     document) / COMMON_SHARE of them."""
