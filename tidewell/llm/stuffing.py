@@ -38,6 +38,8 @@ COMMON_SHARE, UNSEEN = 0.2, 30
 LONG = 10
 
 _LINK = re.compile(r"<a\s[^>]*>|</?[a-z][^>]*>|\]\([^)\s]*\)|[a-z][a-z+]*://\S+|www\.\S+|\b[\w\-]{2,}(?:\.[\w\-]{2,})*\.[^\W\d_]{2,24}\b(?:[/?#:]\S*)?", re.IGNORECASE)
+#: What every link but markup and addresses with a scheme holds.
+_DOTTED = re.compile(r"\w\.[^\W_]")
 _WORD = re.compile(r"[^\W_]+")
 _TOKEN = re.compile(r"[^\W_]+|[.!?](?=\s|$)|\n|\x00+")
 
@@ -148,7 +150,7 @@ def shares(text: str | None, common: frozenset[str] = frozenset()) -> tuple[floa
         link_chars += len(m.group())
         return " \x00 "
 
-    body = _LINK.sub(cut, text) if "." in text or "<" in text or ":" in text or "](" in text else text
+    body = _LINK.sub(cut, text) if "<" in text or "://" in text or "](" in text or _DOTTED.search(text) else text
     tokens = _TOKEN.findall(body.casefold())
     n = Counter(tokens)
     words = {w: k for w, k in n.items() if w[0].isalnum()}
@@ -227,7 +229,6 @@ def common_words(documents: DataFrame, lang: str | None = "lang") -> frozenset[s
                     c = held.setdefault(g, Counter())
                     before = len(c)
                     c.update(set(_WORD.findall(t.casefold())))
-                    c[""] += 1
                     size += len(c) - before
             if size > 500_000:
                 yield out()
@@ -236,9 +237,9 @@ def common_words(documents: DataFrame, lang: str | None = "lang") -> frozenset[s
         yield out()
 
     n = documents.select(tag.alias("lang"), "text").mapInArrow(count, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    total = n.filter("word = ''").select("lang", F.col("n").alias("docs"))
+    total = documents.filter("text <> ''").groupBy(tag.alias("lang")).agg(F.count(F.lit(1)).alias("docs"))
     share = F.col("n") / (F.col("docs") + UNSEEN)
-    words = n.filter("word <> ''").join(total, "lang").filter(share >= COMMON_SHARE).select("word").distinct()
+    words = n.join(total, "lang").filter(share >= COMMON_SHARE).select("word").distinct()
     return frozenset(r.word for r in words.toLocalIterator())
 
 
