@@ -1,115 +1,73 @@
-"""The behavioral marts over every notation of event time, against brute force."""
+"""Pieces of the behavioral marts; the whole marts are held against SQL that reads
+the same notations (``test_star``)."""
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
-from datetime import UTC, datetime, timedelta
+import random
+from datetime import UTC, datetime
 
-import brute
 import pytest
+from conftest import rows
 from pyspark.sql import functions as F
 
-from tidewell.functions.ids import strip
 from tidewell.operators import marts
 from tidewell.plans import behavior
-
-SMALL = "/root/testdata/sf0.001"
-FIELDS = ["event_key", "user_id", "session_id", "event_type", "device", "event_timestamp", "ingested_at", "origin_zone", "product_id", "url_path"]
-
-
-def delivered(spark, folder):
-    df = spark.read.parquet(f"{folder}/fact_behavioral_event.parquet").select(*FIELDS, F.unix_micros("kafka_timestamp").alias("k"))
-    return [r.asDict() | {"kafka_timestamp": None if r.k is None else brute.EPOCH + timedelta(microseconds=r.k)} for r in df.collect()]
-
-
-def events_of(rows):
-    """One dict an event: the least of each value of its rows."""
-    seen = defaultdict(list)
-    for r in rows:
-        if r["event_key"] is not None:
-            seen[r["event_key"]].append(r)
-    least = lambda xs: min((x for x in xs if x is not None), default=None)
-    out = []
-    for key, rs in seen.items():
-        e = {"event_key": key, "at": least([brute.event_times(r)[0] for r in rs])}
-        e |= {c: least([brute.norm(r[c]) for r in rs]) for c in ("user_id", "session_id")}
-        e |= {c: least([r[c] for r in rs]) for c in ("event_type", "device", "url_path", "product_id")}
-        out.append(e | {"day": None if e["at"] is None else brute.day_sk(e["at"]), "step": (e["event_type"] or "").strip(brute.WHITE).lower()})
-    return out
-
-
-@pytest.fixture(scope="module")
-def rows(spark):
-    return delivered(spark, SMALL)
-
-
-@pytest.fixture(scope="module")
-def events(rows):
-    return events_of(rows)
-
-
-def got(spark, name, *columns):
-    return {tuple(r) for r in behavior.QUERIES[f"{name}_all_times"](spark, SMALL).select(*columns).collect()}
-
-
-def test_event_time_of_all_notations(spark, events):
-    assert {(r.event_key, r.at_us, r.date_sk) for r in behavior._events_all_times(spark, SMALL).collect()} == {(e["event_key"], e["at"], e["day"]) for e in events}
-
-
-def test_daily_marts(spark, events):
-    days, users = defaultdict(list), defaultdict(list)
-    for e in events:
-        if e["day"] is not None:
-            days[e["day"]].append(e)
-            users[e["user_id"]].append(e)
-    distinct = lambda es, c: len({e[c] for e in es} - {None})
-    daily = behavior.QUERIES["behavioral_daily_all_times"](spark, SMALL).filter("device = 'all'").select("day", "total_events", "unique_users", "sessions")
-    assert {tuple(r) for r in daily.collect()} == {(d, len(es), distinct(es, "user_id"), distinct(es, "session_id")) for d, es in days.items()}
-
-    first = {u: min(e["day"] for e in es) for u, es in users.items() if u is not None}
-    seen = {d: {e["user_id"] for e in es} - {None} for d, es in days.items()}
-    assert got(spark, "new_returning_users", "day", "new_users", "returning_users") == {
-        (d, sum(first[u] == d for u in us), sum(first[u] < d for u in us)) for d, us in seen.items() if us
-    }
-    n = Counter((e["user_id"], e["day"]) for es in days.values() for e in es if e["user_id"] is not None)
-    assert got(spark, "user_daily_activity", "user", "day", "events", "first_day") == {(u, d, k, first[u]) for (u, d), k in n.items()}
-    for name, c in (("entity_product_daily", "product_id"), ("entity_page_daily", "url_path")):
-        want = Counter((e["day"], e[c], (e["device"] or "").strip(brute.WHITE).lower() or "unknown") for es in days.values() for e in es if e[c] is not None)
-        assert got(spark, name, "day", "entity", "device", "event_count") == {(*k, v) for k, v in want.items()}
-    by = lambda es, k: distinct([e for e in es if e["step"] in marts.VOCABULARY[k]], "user_id")
-    steps = {d: [by(es, k) for k in ("page_view", "add_to_cart", "checkout_start", "order_complete")] for d, es in days.items()}
-    rate = lambda a, b: round(b / a, 9) if a else None
-    rates = behavior.QUERIES["funnel_rates_all_times"](spark, SMALL).select("day", "view_to_cart", "cart_to_checkout", "checkout_to_order").collect()
-    assert {(r[0], *(x if x is None else round(x, 9) for x in r[1:])) for r in rates} == {(d, rate(v, c), rate(c, o), rate(o, p)) for d, (v, c, o, p) in steps.items()}
-
-
-def test_sessions(spark, events):
-    sessions = defaultdict(list)
-    for e in events:
-        if e["session_id"] is not None and e["at"] is not None:
-            sessions[e["session_id"]].append((e["at"], e["event_key"], e["url_path"] if e["url_path"] is not None else "-"))
-    assert got(spark, "session_summary", "session_id", "started_us", "ended_us", "events", "landing_page", "exit_page") == {
-        (s, min(es)[0], max(es)[0], len(es), min(es)[2], max(es)[2]) for s, es in sessions.items()
-    }
-
-
-def test_provenance_and_quality(spark, rows):
-    source, quality = defaultdict(list), Counter()
-    for r in rows:
-        at = brute.event_instants(r)[0]
-        source["payload" if at is not None else "kafka" if r["k"] is not None else "none"].append(brute.event_times(r)[0])
-        t = None if at is None else brute.EPOCH + timedelta(microseconds=at)
-        if t is None:
-            quality["null" if r["event_timestamp"] is None else "unparseable"] += 1
-        elif t.year == 1970:
-            quality["epoch_1970"] += 1
-        else:
-            quality["too_old" if t < datetime(2025, 11, 1, tzinfo=UTC) else "future" if t >= datetime(2026, 4, 1, tzinfo=UTC) else "valid"] += 1
-    ends = lambda f, xs: f((x for x in xs if x is not None), default=None)
-    assert got(spark, "event_time_provenance", "time_source", "n_rows", "min_us", "max_us") == {(k, len(v), ends(min, v), ends(max, v)) for k, v in source.items()}
-    assert got(spark, "safe_partition_quality", "quality", "n_rows") == set(quality.items())
-
-
-def test_modal_device_does_not_depend_on_time(spark):
-    e = behavior._events_all_times(spark, SMALL).withColumn("device", F.nullif(F.lower(strip("device")), F.lit("")))
-    assert {tuple(r) for r in marts.modal(e, "user_id", "device").collect()} == {tuple(r) for r in behavior.modal_device(spark, SMALL).collect()}
+from tidewell.sources import bronze
+
+EVENT = "date_sk int, at_us bigint, event_key string, user_id string, session_id string, event_type string, device string, success boolean, order_id string, duration_sec int"
+
+
+@pytest.mark.parametrize("chunk", [7, 100, 10**9])
+def test_gap_sessions_do_not_depend_on_chunks(spark, chunk):
+    rnd = random.Random(chunk)
+    events = [(rnd.choice(["hot", "hot", "b"]), rnd.randrange(400), i) for i in range(120)] + [(None, 5, 500), ("b", None, 501)]
+    want = set()
+    for u in ("hot", "b"):
+        n, last, start, k = 0, None, None, 0
+        for t in [*sorted(t for x, t, _ in events if x == u and t is not None), None]:
+            if t is None or last is None or t - last > 10:
+                if k:
+                    want.add((u, n, k, start, last))
+                n, start, k = n + 1, t, 0
+            last, k = t, k + 1
+    df = spark.createDataFrame(events, "u string, t bigint, k int")
+    assert {tuple(r) for r in marts.gap_sessions(df, "u", "t", "k", 10, chunk).collect()} == want
+    assert marts.gap_sessions(df.limit(0), "u", "t", "k", 10).count() == 0
+
+
+def test_payments_come_as_events_or_as_attempts(spark):
+    df = spark.createDataFrame([("payment_attempt", True), ("Payment_Attempt ", False), ("payment_attempt", None), ("successful_payment", None), ("failed_payment", None), (None, True)], "event_type string, success boolean")
+    s = marts.step_flags()
+    assert rows(df.select(s["successful_payment"].cast("int").alias("a"), s["failed_payment"].cast("int").alias("b")).fillna(0)) == sorted([(1, 0), (0, 1), (0, 0), (1, 0), (0, 1), (0, 0)])
+
+
+def test_user_days_count_orders_once_and_know_the_days_since(spark):
+    data = [
+        (20260101, 1, "a", "U", "s", "order_complete", "m", None, "O1", 5), (20260101, 2, "b", "U", "s", "order_complete", "m", None, "O1", None),
+        (20260103, 3, "c", "U", None, "order_complete", "d", None, "O1", 1), (20260105, 4, "d", "U", "t", "page_view", "m", None, None, 1), (20260105, 5, "e", None, "t", "page_view", "m", None, None, 1),
+    ]
+    got = rows(marts.user_daily(spark.createDataFrame(data, EVENT)), "date_sk", "sessions", "daily_orders", "lifetime_orders", "days_since_last_order", "is_new", "primary_device")
+    assert got == [(20260101, 1, 1, 1, 0, True, "m"), (20260103, 0, 1, 1, 0, False, "m"), (20260105, 1, 0, 1, 2, False, "m")]
+    assert marts.user_daily(spark.createDataFrame([], EVENT)).count() == 0
+
+
+def test_branches_are_aligned_with_zeros(spark):
+    a, b = spark.createDataFrame([("x", 1)], "entity string, views int"), spark.createDataFrame([("y", 2)], "entity string, searches int")
+    assert rows(marts.aligned_union({"p": a, "s": b}), "entity_type", "entity", "views", "searches") == [("p", "x", 1, 0), ("s", "y", 0, 2)]
+
+
+def test_every_class_of_partition_time(spark):
+    t = lambda *a: datetime(*a, tzinfo=UTC)
+    df = spark.createDataFrame([("n", None, None), ("u", "?", None), ("e", "x", t(1970, 1, 1)), ("o", "x", t(2001, 1, 1)), ("f", "x", t(2031, 1, 1)), ("v", "x", t(2026, 1, 1))], "k string, raw string, at timestamp")
+    got = dict(rows(df.select("k", behavior.partition_quality(F.col("at"), F.col("raw"), "2025-01-01", "2027-01-01").alias("q"))))
+    assert got == {"n": "null", "u": "unparseable", "e": "epoch_1970", "o": "too_old", "f": "future", "v": "valid"}
+    assert behavior.partition_quality(F.col("at"), None, "2025-01-01", "2027-01-01") is not None
+    at, source = bronze.first_valid_time({"a": F.col("at"), "b": F.lit("2026-05-05").cast("timestamp")}, "2025-01-01", "2027-01-01")
+    assert dict(rows(df.select("k", source.alias("s"))))["v"] == "a" and dict(rows(df.select("k", source.alias("s"))))["f"] == "b"
+
+
+def test_event_range_is_half_open(spark):
+    df = spark.createDataFrame([(1,), (5,), (9,), (None,)], "at_us bigint")
+    assert rows(behavior.events_between(df, 1, 9)) == [(1,), (5,)]
+    with pytest.raises(ValueError, match="after start"):
+        behavior.events_between(df, 9, 9)

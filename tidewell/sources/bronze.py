@@ -88,8 +88,19 @@ def write_history(df: DataFrame, path: str, files: int, execute: bool = False, o
     return execute
 
 
-def safe_partition_time(field: str, kafka: str = "kafka_timestamp", ingested: str = "ingested_at"):  # noqa: ANN201
-    """(time, source) of the first timestamp that is there of field, Kafka and
-    ingestion; a row without any raises."""
-    at = F.coalesce(field, kafka, ingested, F.raise_error(F.lit("no partition time")).cast("timestamp"))
-    return at, F.when(F.col(field).isNotNull(), "field").when(F.col(kafka).isNotNull(), "kafka").otherwise("ingested")
+def first_valid_time(times: dict, earliest: str, latest: str):  # noqa: ANN201
+    """(time, source) of the first of ``times`` (name to timestamp column, in order)
+    that lies in [earliest, latest) and isn't of 1970; null and 'unresolved' where
+    none does."""
+    at, source = F.lit(None).cast("timestamp"), F.lit("unresolved")
+    for name, c in reversed(times.items()):
+        good = F.coalesce((F.year(c) != 1970) & (c >= F.lit(earliest).cast("timestamp")) & (c < F.lit(latest).cast("timestamp")), F.lit(False))
+        at, source = F.when(good, c).otherwise(at), F.when(good, F.lit(name)).otherwise(source)
+    return at, source
+
+
+def safe_partition_time(field: str, kafka: str = "kafka_timestamp", ingested: str = "ingested_at", earliest: str = "2000-01-01", latest: str = "2100-01-01"):  # noqa: ANN201
+    """(time, source) of the first valid timestamp of field, Kafka and ingestion; a
+    row without any raises."""
+    at, source = first_valid_time({"field": F.col(field), "kafka": F.col(kafka), "ingested": F.col(ingested)}, earliest, latest)
+    return F.coalesce(at, F.raise_error(F.lit("no partition time")).cast("timestamp")), source
