@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,5 +65,16 @@ def raise_on_failure(result: DataFrame) -> None:
         raise AssertionError(f"failed checks: {', '.join(sorted(failed))}")
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+def write_report(source: DataFrame, written: DataFrame, identity: list[str], payload: list[str], day: str) -> DataFrame:
+    """(check_name, passed) of a written dataset against its source: as many rows,
+    no identity twice, the same (identity, payload) pairs in both, no null day. One
+    shuffle by identity."""
+    h = F.sha2(F.to_json(F.struct(*sorted(payload)), {"ignoreNullFields": "false"}), 256)
+    one = lambda df, side, d: df.select(*identity, h.alias("h"), F.lit(side).alias("side"), d.alias("no_day"))
+    both = one(source, 0, F.lit(False)).unionByName(one(written, 1, F.col(day).isNull()))
+    count = lambda side: F.count_if(F.col("side") == side)
+    pairs = both.groupBy(*identity, "h").agg(count(0).alias("a"), count(1).alias("b"), F.count_if("no_day").alias("no_day"))
+    keys = pairs.groupBy(*identity).agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum(F.when((F.col("a") > 0) != (F.col("b") > 0), 1).otherwise(0)).alias("differ"), F.sum("no_day").alias("no_day"))
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    m = keys.agg(zero("a").alias("a"), zero("b").alias("b"), zero(F.when(F.col("b") > 1, 1).otherwise(0)).alias("twice"), zero("differ").alias("differ"), zero("no_day").alias("no_day"))
+    return checks(m, {"same_rows": F.col("a") == F.col("b"), "no_identity_twice": F.col("twice") == 0, "same_payloads": F.col("differ") == 0, "no_null_day": F.col("no_day") == 0})

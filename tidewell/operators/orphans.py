@@ -95,23 +95,22 @@ def find_orphans(
     # A key that a third of the rows refer to is one row here.
     referenced = refs.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("came").alias("least"))
     ages = parent_ages(parents, parent_key, parent_time)
-    met = match_runs(ages, referenced).join(gone, "key", "left")
+    met = match_runs(ages, referenced.drop("n")).join(gone, "key", "left")
     # What the run's bounds leave open: some parent of the run, or a deletion, may be later than something.
     open_late = F.coalesce(F.col("first_hi") > F.col("least"), F.lit(False))
     open_gone = F.coalesce(F.col("gone_at") > F.col("last_lo"), F.lit(False))
     met = met.filter(~F.col("has_parent") | open_late | open_gone)
-    sure = met.filter("not has_parent or n_keys = 1").select("key", "n", "has_parent", "gone_at", F.col("first_lo").alias("first"), F.col("last_lo").alias("last"))
-    looked_up = met.filter("has_parent and n_keys > 1").select("key", "n", "has_parent", "gone_at").join(ages, "key")
+    sure = met.filter("not has_parent or n_keys = 1").select("key", "has_parent", "gone_at", F.col("first_lo").alias("first"), F.col("last_lo").alias("last"))
+    looked_up = met.filter("has_parent and n_keys > 1").select("key", "has_parent", "gone_at").join(ages, "key")
     facts = sure.unionByName(looked_up)
     deleted = F.col("gone_at").isNotNull() & (~F.col("has_parent") | F.coalesce(F.col("gone_at") > F.col("last"), F.lit(False)))
     suspect = facts.select(
         "key",
-        "n",
         F.when(deleted, "deleted").when(~F.col("has_parent"), "missing").alias("kind"),
         F.when(F.col("has_parent"), F.col("first")).alias("first"),
     )
     return (
-        join_hot(refs, suspect.drop("n"), "key", suspect.select("key", "n"), hot_rows=hot_rows)
+        join_hot(refs, suspect, "key", referenced.select("key", "n"), hot_rows=hot_rows)
         .withColumn("orphan_kind", F.coalesce("kind", F.when(F.col("first") > F.col("came"), "late")))
         .filter("orphan_kind is not null")
         .select("record_key", "orphan_kind", *(["period"] if period is not None else []))

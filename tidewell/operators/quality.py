@@ -69,3 +69,11 @@ def require(df: DataFrame, columns: list[str]) -> DataFrame:
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
     return df
+
+
+def merge_quarantine(target: DataFrame | None, new: DataFrame) -> DataFrame:
+    """The quarantine after a load: its schema is that of the first write, later
+    rows are aligned to it, and a row that comes again replaces its former self."""
+    from tidewell.operators.versions import upsert
+
+    return new if target is None else upsert(target, align(new, target.schema), "_dq_quarantine_id", "true")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewell.functions.ids import all_null, norm_id, strip
+from tidewell.functions.ids import all_null, strip
 
 
 def latest_by(df: DataFrame, key: Column, order: list[Column], keep_unidentified: bool = True) -> DataFrame:
@@ -27,8 +28,9 @@ def split_tombstones(df: DataFrame, key: str, payload: list[str]) -> tuple[DataF
     """(records, distinct deleted keys). A row with a key and an all-null payload
     deletes; keys that are blank delete nothing and are no records either."""
     dead = F.col(key).isNotNull() & all_null(payload)
-    keys = df.filter(dead).select(strip(key).alias(key)).filter(F.col(key) != "").distinct()
-    return df.filter(~dead), keys
+    text = isinstance(df.schema[key].dataType, T.StringType)
+    keys = df.filter(dead).select((strip(key) if text else F.col(key)).alias(key)).distinct()
+    return df.filter(~dead), keys.filter(F.col(key) != "") if text else keys
 
 
 def delete_keys(target: DataFrame, keys: DataFrame, key: str) -> DataFrame:
@@ -52,8 +54,11 @@ def upsert(target: DataFrame, source: DataFrame, key: str, update: str | None =
     missing), "true" always. Null conditions don't update. Columns that only one
     side has are null in the other's rows. ``source`` has distinct keys; a null
     key matches nothing and is inserted."""
-    condition = F.coalesce(F.expr(update), F.lit(False)) if update else F.lit(False)
     here, there = set(target.columns), set(source.columns)
+    if update is None:
+        # The target isn't touched: it is unioned with what it lacks.
+        return target.unionByName(source.join(target.select(key), key, "left_anti"), allowMissingColumns=True)
+    condition = F.coalesce(F.expr(update), F.lit(False))
     names = target.columns + [c for c in source.columns if c not in here]
     in_t, in_s = F.col("t.__t").isNotNull(), F.col("s.__s").isNotNull()
     both = target.withColumn("__t", F.lit(1)).alias("t").join(
@@ -67,7 +72,6 @@ def upsert(target: DataFrame, source: DataFrame, key: str, update: str | None =
 
 
 NEWER = "s.source_kafka_timestamp > t.source_kafka_timestamp"
-CHANGED = "s.record_hash <> t.record_hash"
 
 
 def record_hash(columns: list[str]) -> Column:
@@ -95,6 +99,15 @@ def interval_join(facts: DataFrame, versions: DataFrame, key: str, at: str, star
     return facts.join(v, on, "left").drop("__k", "__a", "__b")
 
 
+def close_current(target: DataFrame, staged: DataFrame, key: str, start: str = "effective_from", stop: str = "effective_to", current: str = "is_current") -> DataFrame:
+    """Open periods of the keys that ``staged`` has new versions of end where the
+    first of these begins, if that is later than their own start."""
+    first = staged.groupBy(F.col(key).alias("__k")).agg(F.min(start).alias("__from"))
+    hit = target.join(first, F.col(key) == F.col("__k"), "left")
+    ends = F.coalesce(F.col(current) & (F.col("__from") > F.col(start)), F.lit(False))
+    return hit.withColumns({stop: F.when(ends, F.col("__from")).otherwise(F.col(stop)), current: F.col(current) & ~ends}).select(*target.columns)
+
+
 def overlaps(versions: DataFrame, key: str, start: str, stop: str) -> DataFrame:
     """Versions that last beyond the start of the next one of their key."""
     w = W.partitionBy(key).orderBy(start, F.col(stop).asc_nulls_last())
@@ -118,7 +131,3 @@ def canonical_generations(generations: list[DataFrame], identity: list[str], ord
         union = union.unionByName(g, allowMissingColumns=True)
     w = W.partitionBy(*identity).orderBy(F.col("generation_priority").desc(), *newest_first(*order))
     return union.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
-
-
-def id_or(key: str, default: str) -> Column:
-    return F.coalesce(norm_id(key), F.lit(default))

@@ -7,11 +7,11 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.plans import behavior, problems, star
+from tidewell.plans import behavior, models, problems, star
 from tidewell.session import prepare
 
 FLAGSHIP = "transactional_obt"
-_MODULES = (star, behavior, problems)
+_MODULES = (star, models, behavior, problems)
 
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions.ids import blank, date_sk, norm_id, strip
-from tidewell.operators import audits, changefeed, marts, versions
+from tidewell.operators import asof, audits, changefeed, marts, versions
 from tidewell.operators.calendar import calendar
 from tidewell.operators.quality import Rule, quarantine, split_valid, with_reasons
 from tidewell.sources.tables import table
@@ -22,6 +22,8 @@ ORACLES: dict[str, str] = {}
 TIERS = ["Bronze", "Silver", "Gold", "Platinum"]
 EMAIL = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
 TOLERANCE = "0.01"
+#: The day that times of the data are judged by; a parameter of the rules.
+AS_OF = "2026-04-15"
 
 _WS = "E' \\t\\n\\r'"
 
@@ -72,13 +74,14 @@ def _latest_users(spark: SparkSession, d: str) -> DataFrame:
     return versions.latest_by(u, F.col("user_id"), [F.col("source_kafka_timestamp").desc_nulls_last(), content.asc()])
 
 
-def _user_rules() -> list[Rule]:
+def _user_rules(as_of: str = AS_OF) -> list[Rule]:
     return [
         Rule("missing_user_id", blank("user_id")),
         Rule("missing_username", blank("username")),
         Rule("missing_email", blank("email")),
         Rule("invalid_email", ~blank("email") & ~F.col("email").rlike(EMAIL)),
         Rule("missing_signup_date", F.col("signup_date").isNull()),
+        Rule("future_signup_date", F.col("signup_date") > F.lit(as_of).cast("date")),
         Rule("invalid_loyalty_tier", ~F.coalesce(F.col("loyalty_tier").isin(TIERS), F.lit(True))),
         Rule("missing_location", blank("location")),
         Rule("missing_kafka_timestamp", F.col("source_kafka_timestamp").isNull()),
@@ -101,6 +104,7 @@ WITH u AS (
     CASE WHEN coalesce(email, '') = '' THEN 'missing_email' END,
     CASE WHEN coalesce(email, '') <> '' AND NOT regexp_matches(email, '{EMAIL}') THEN 'invalid_email' END,
     CASE WHEN signup_date IS NULL THEN 'missing_signup_date' END,
+    CASE WHEN signup_date > DATE '{AS_OF}' THEN 'future_signup_date' END,
     CASE WHEN loyalty_tier IS NOT NULL AND loyalty_tier NOT IN ('Bronze', 'Silver', 'Gold', 'Platinum') THEN 'invalid_loyalty_tier' END,
     CASE WHEN coalesce(location, '') = '' THEN 'missing_location' END,
     CASE WHEN source_kafka_timestamp IS NULL THEN 'missing_kafka_timestamp' END) AS reason
@@ -139,8 +143,8 @@ WHERE order_id IS NULL AND user_id IS NULL AND {_id("kafka_key")} IS NOT NULL"""
 )
 def tombstone_split(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "raw_tombstone", ["kafka_key", "kafka_topic", "order_id", "user_id"])
-    dead = t.filter(F.col("order_id").isNull() & F.col("user_id").isNull())
-    return dead.select("kafka_topic", norm_id("kafka_key").alias("deleted_key")).filter("deleted_key is not null").distinct()
+    t = t.withColumn("key", F.when(~blank("kafka_key"), F.struct("kafka_topic", norm_id("kafka_key").alias("deleted_key"))))
+    return versions.split_tombstones(t, "key", ["order_id", "user_id"])[1].select("key.*")
 
 
 def _prices(spark: SparkSession, d: str) -> DataFrame:
@@ -187,59 +191,6 @@ def scd2_overlap_audit(spark: SparkSession, d: str) -> DataFrame:
 # ------------------------------------------------------------ facts
 
 
-_CHANGE_USERS = f"""
-WITH cur AS (
-  SELECT {_id("user_id")} AS user_id, coalesce(max_by(loyalty_tier, source_kafka_timestamp), '') AS tier FROM dim_user
-  WHERE source_kafka_timestamp IS NOT NULL AND loyalty_tier IS NOT NULL GROUP BY 1
-), inc AS (
-  SELECT {_id("record_key")} AS user_id, max_by(json_extract_string(payload_json, '$.loyalty_tier'), commit_lsn) AS tier FROM raw_change
-  WHERE table_name = 'dim_user' AND json_extract_string(payload_json, '$.loyalty_tier') IS NOT NULL GROUP BY 1
-)
-"""
-
-
-@query(
-    _CHANGE_USERS
-    + """SELECT inc.user_id, inc.tier, CASE WHEN cur.user_id IS NULL THEN 'insert' ELSE 'update' END AS change_type
-FROM inc LEFT JOIN cur USING (user_id) WHERE cur.user_id IS NULL OR cur.tier <> inc.tier"""
-)
-def scd1_user_changes(spark: SparkSession, d: str) -> DataFrame:
-    current, incoming = _tiers(spark, d)
-    return versions.scd1_changes(current, incoming, "user_id", ["tier"]).select("user_id", "tier", "change_type")
-
-
-def _tiers(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    u = table(spark, d, "dim_user", ["user_id", "loyalty_tier", "source_kafka_timestamp"])
-    current = u.filter("source_kafka_timestamp is not null and loyalty_tier is not null").groupBy(norm_id("user_id").alias("user_id")).agg(
-        F.max_by("loyalty_tier", "source_kafka_timestamp").alias("tier")
-    )
-    c = table(spark, d, "raw_change", ["table_name", "record_key", "commit_lsn", "payload_json"]).filter("table_name = 'dim_user'")
-    tier = F.get_json_object("payload_json", "$.loyalty_tier")
-    incoming = c.filter(tier.isNotNull()).groupBy(norm_id("record_key").alias("user_id")).agg(F.max_by(tier, "commit_lsn").alias("tier"))
-    return current, incoming
-
-
-@query(_CHANGE_USERS + "SELECT coalesce(cur.user_id, inc.user_id) AS user_id, coalesce(cur.tier, inc.tier) AS tier FROM cur FULL JOIN inc ON cur.user_id = inc.user_id")
-def upsert_insert_missing(spark: SparkSession, d: str) -> DataFrame:
-    current, incoming = _tiers(spark, d)
-    return versions.upsert(current, incoming, "user_id")
-
-
-@query(
-    _CHANGE_USERS
-    + "SELECT coalesce(cur.user_id, inc.user_id) AS user_id, CASE WHEN cur.user_id IS NULL OR inc.tier > cur.tier THEN inc.tier ELSE cur.tier END AS tier FROM cur FULL JOIN inc ON cur.user_id = inc.user_id"
-)
-def upsert_update_if(spark: SparkSession, d: str) -> DataFrame:
-    current, incoming = _tiers(spark, d)
-    return versions.upsert(current, incoming, "user_id", "s.tier > t.tier")
-
-
-@query(_CHANGE_USERS + "SELECT coalesce(inc.user_id, cur.user_id) AS user_id, coalesce(inc.tier, cur.tier) AS tier FROM cur FULL JOIN inc ON cur.user_id = inc.user_id")
-def upsert_update_always(spark: SparkSession, d: str) -> DataFrame:
-    current, incoming = _tiers(spark, d)
-    return versions.upsert(current, incoming, "user_id", "true")
-
-
 #: What the feed's dim_user payloads carry, the tracked attributes of the dimension.
 _TRACKED = ["username", "device", "loyalty_tier", "location"]
 
@@ -248,62 +199,99 @@ def _user_merge(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """(target, source) of a merge of the feed into dim_user, without any filter
     but for rows without id. The target has every user id; a user's row is the
     latest, rows without time last. The source has the last state that the feed
-    gives each user: what a change doesn't carry stays as it was."""
+    gives each user, what a change doesn't carry staying as it was, and the latest
+    time at which the feed brought one of the user's changes."""
     u = table(spark, d, "dim_user", ["user_id", *_TRACKED, "source_kafka_timestamp"])
     latest = F.max(F.struct("source_kafka_timestamp", *_TRACKED))
-    target = u.groupBy(norm_id("user_id").alias("user_id")).agg(latest.alias("v")).filter("user_id is not null").select("user_id", *[F.col(f"v.{c}") for c in _TRACKED])
-    c = changefeed.distinct_changes(table(spark, d, "raw_change", ["table_name", "record_key", "op", "commit_lsn", "payload_json"]).filter("table_name = 'dim_user'"))
-    sent = c.filter("op <> 'd'").select(F.lit("dim_user").alias("table_name"), "record_key").distinct().withColumn("commit_lsn", F.lit(0))
+    target = u.groupBy(norm_id("user_id").alias("user_id")).agg(latest.alias("v")).filter("user_id is not null").select("user_id", "v.*")
+    raw = table(spark, d, "raw_change", ["table_name", "record_key", "op", "commit_lsn", "payload_json", "kafka_timestamp"]).filter("table_name = 'dim_user'")
+    c = changefeed.distinct_changes(raw.drop("kafka_timestamp"))
+    sent = c.filter("op <> 'd'").select(F.lit("dim_user").alias("table_name"), "record_key").distinct().withColumn("commit_lsn", F.lit(None).cast("bigint"))
     known = target.select(F.lit("dim_user").alias("table_name"), F.col("user_id").alias("record_key"), *_TRACKED)
-    source = changefeed.current_fields(c, known, sent, _TRACKED)
-    return target, source.select(F.col("record_key").alias("user_id"), *_TRACKED)
+    state = changefeed.current_fields(c, known, sent, _TRACKED).select(F.col("record_key").alias("user_id"), *_TRACKED)
+    came = raw.groupBy(norm_id("record_key").alias("user_id")).agg(F.max("kafka_timestamp").alias("source_kafka_timestamp"))
+    return target, state.join(came, "user_id", "left")
+
+
+def _user_merge_sql() -> str:
+    """CTEs cur (the target) and inc (the source)."""
+    from tidewell.plans.problems import _P6_STATE
+
+    head = _P6_STATE[: _P6_STATE.index(") SELECT a.table_name")]
+    fields = ", ".join(f"CASE WHEN n.has_{f} THEN n.new_{f} WHEN n.born IS NULL THEN b.{f} END AS {f}" for f in _TRACKED)
+    return (
+        head
+        + f"""), cur AS (SELECT * FROM (SELECT {_id("user_id")} AS user_id, {", ".join(_TRACKED)}, source_kafka_timestamp FROM dim_user) WHERE user_id IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY source_kafka_timestamp DESC NULLS LAST, {", ".join(f"{f} DESC NULLS LAST" for f in _TRACKED)}) = 1),
+came AS (SELECT {_id("record_key")} AS user_id, max(kafka_timestamp) AS source_kafka_timestamp FROM raw_change WHERE table_name = 'dim_user' GROUP BY 1),
+inc AS (SELECT n.record_key AS user_id, {fields}, came.source_kafka_timestamp FROM (SELECT * FROM news WHERE table_name = 'dim_user') n LEFT JOIN (SELECT * FROM base WHERE table_name = 'dim_user') b USING (record_key) LEFT JOIN came ON came.user_id = n.record_key)
+"""
+    )
+
 
+def _merged_sql(take: str) -> str:
+    columns = ", ".join(f"CASE WHEN {take} THEN inc.{c} ELSE cur.{c} END AS {c}" for c in ["user_id", *_TRACKED])
+    at = f"epoch_us(CASE WHEN {take} THEN inc.source_kafka_timestamp ELSE cur.source_kafka_timestamp END) AS source_us"
+    return _user_merge_sql() + f"SELECT {columns}, {at} FROM cur FULL JOIN inc ON cur.user_id = inc.user_id"
 
-def scd1_user_changes_all(spark: SparkSession, d: str) -> DataFrame:
+
+def _merged(df: DataFrame) -> DataFrame:
+    return df.select("user_id", *_TRACKED, F.unix_micros("source_kafka_timestamp").alias("source_us"))
+
+
+_DIFFERS = " OR ".join(f"inc.{f} IS DISTINCT FROM cur.{f}" for f in _TRACKED)
+
+
+@query(
+    _user_merge_sql()
+    + f"SELECT inc.user_id, {', '.join('inc.' + f for f in _TRACKED)}, CASE WHEN cur.user_id IS NULL THEN 'insert' ELSE 'update' END AS change_type FROM inc LEFT JOIN cur ON cur.user_id = inc.user_id WHERE cur.user_id IS NULL OR {_DIFFERS}"
+)
+def scd1_user_changes(spark: SparkSession, d: str) -> DataFrame:
     """Users that the feed adds or changes in any tracked attribute."""
     target, source = _user_merge(spark, d)
     return versions.scd1_changes(target, source, "user_id", _TRACKED).select("user_id", *_TRACKED, "change_type")
 
 
-def upsert_insert_missing_all(spark: SparkSession, d: str) -> DataFrame:
-    return versions.upsert(*_user_merge(spark, d), "user_id")
-
-
-def upsert_update_if_all(spark: SparkSession, d: str) -> DataFrame:
-    return versions.upsert(*_user_merge(spark, d), "user_id", "s.loyalty_tier > t.loyalty_tier")
+@query(_merged_sql("cur.user_id IS NULL"))
+def upsert_insert_missing(spark: SparkSession, d: str) -> DataFrame:
+    return _merged(versions.upsert(*_user_merge(spark, d), "user_id"))
 
 
-def upsert_update_always_all(spark: SparkSession, d: str) -> DataFrame:
-    return versions.upsert(*_user_merge(spark, d), "user_id", "true")
+@query(_merged_sql("(cur.user_id IS NULL OR coalesce(inc.source_kafka_timestamp > cur.source_kafka_timestamp, false))"))
+def upsert_update_if(spark: SparkSession, d: str) -> DataFrame:
+    """Replaced where the source is newer; an equal or unknown time changes nothing."""
+    return _merged(versions.upsert(*_user_merge(spark, d), "user_id", versions.NEWER))
 
 
-#: The queries without suffix follow their SQL, which merges tiers only and leaves
-#: out users without one; these have no oracle and are held against brute force.
-QUERIES |= {f.__name__: f for f in (scd1_user_changes_all, upsert_insert_missing_all, upsert_update_if_all, upsert_update_always_all)}
+@query(_merged_sql("inc.user_id IS NOT NULL"))
+def upsert_update_always(spark: SparkSession, d: str) -> DataFrame:
+    return _merged(versions.upsert(*_user_merge(spark, d), "user_id", "true"))
 
 
 _ORDERS = f"""
 WITH o AS (
-  SELECT {_id("order_id")} AS order_id, user_sk, order_timestamp, order_total, lower(trim(status, {_WS})) AS status, source_kafka_timestamp
+  SELECT {_id("order_id")} AS order_id, user_sk, order_timestamp, order_total, lower(trim(status, {_WS})) AS status, lower(trim(payment_method, {_WS})) AS payment_method, source_kafka_timestamp
   FROM fact_order
   QUALIFY {_id("order_id")} IS NULL OR row_number() OVER (PARTITION BY {_id("order_id")} ORDER BY source_kafka_timestamp DESC NULLS LAST, order_total DESC NULLS LAST,
-    order_timestamp DESC NULLS LAST, user_sk DESC NULLS LAST, lower(trim(status, {_WS})) DESC NULLS LAST) = 1
+    order_timestamp DESC NULLS LAST, user_sk DESC NULLS LAST, lower(trim(status, {_WS})) DESC NULLS LAST, lower(trim(payment_method, {_WS})) DESC NULLS LAST) = 1
 )
 """
 
 
 def _orders(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "fact_order", ["order_id", "user_sk", "order_timestamp", "order_total", "status", "source_kafka_timestamp"]).select(
-        norm_id("order_id").alias("order_id"), "user_sk", "order_timestamp", "order_total", F.lower(strip("status")).alias("status"), "source_kafka_timestamp"
-    )
-    return versions.latest_by(o, F.col("order_id"), versions.newest_first("source_kafka_timestamp", "order_total", "order_timestamp", "user_sk", "status"))
+    o = table(spark, d, "fact_order", ["order_id", "user_sk", "order_timestamp", "order_total", "status", "payment_method", "source_kafka_timestamp"]).select(
+        norm_id("order_id").alias("order_id"), "user_sk", "order_timestamp", "order_total", F.lower(strip("status")).alias("status"), F.lower(strip("payment_method")).alias("payment_method"),
+        "source_kafka_timestamp",
+    )
+    return versions.latest_by(o, F.col("order_id"), versions.newest_first("source_kafka_timestamp", "order_total", "order_timestamp", "user_sk", "status", "payment_method"))
 
 
 @query(
     _ORDERS
-    + """SELECT order_id, concat_ws('; ', CASE WHEN order_id IS NULL THEN 'missing_order_id' END, CASE WHEN user_sk IS NULL THEN 'missing_user_id' END,
-  CASE WHEN order_timestamp IS NULL THEN 'missing_order_timestamp' END, CASE WHEN order_total IS NULL THEN 'missing_order_total' END,
+    + f"""SELECT order_id, concat_ws('; ', CASE WHEN order_id IS NULL THEN 'missing_order_id' END, CASE WHEN user_sk IS NULL THEN 'missing_user_id' END,
+  CASE WHEN order_timestamp IS NULL THEN 'missing_order_timestamp' END, CASE WHEN order_timestamp > TIMESTAMPTZ '{AS_OF} 00:00:00+00' THEN 'future_order_timestamp' END, CASE WHEN order_total IS NULL THEN 'missing_order_total' END,
   CASE WHEN order_total < 0 THEN 'negative_order_total' END, CASE WHEN coalesce(status, '') = '' THEN 'missing_order_status' END,
+  CASE WHEN coalesce(payment_method, '') = '' THEN 'missing_payment_method' END,
   CASE WHEN source_kafka_timestamp IS NULL THEN 'missing_kafka_timestamp' END) AS reason FROM o"""
 )
 def order_validation(spark: SparkSession, d: str) -> DataFrame:
@@ -311,9 +299,11 @@ def order_validation(spark: SparkSession, d: str) -> DataFrame:
         Rule("missing_order_id", F.col("order_id").isNull()),
         Rule("missing_user_id", F.col("user_sk").isNull()),
         Rule("missing_order_timestamp", F.col("order_timestamp").isNull()),
+        Rule("future_order_timestamp", F.col("order_timestamp") > F.lit(AS_OF).cast("timestamp")),
         Rule("missing_order_total", F.col("order_total").isNull()),
         Rule("negative_order_total", F.col("order_total") < 0),
         Rule("missing_order_status", blank("status")),
+        Rule("missing_payment_method", blank("payment_method")),
         Rule("missing_kafka_timestamp", F.col("source_kafka_timestamp").isNull()),
     ]
     return with_reasons(_orders(spark, d), rules, "reason").select("order_id", "reason")
@@ -361,6 +351,7 @@ def latest_item_version(spark: SparkSession, d: str) -> DataFrame:
   CASE WHEN unit_price IS NULL THEN 'missing_unit_price' END, CASE WHEN unit_price < 0 THEN 'negative_unit_price' END,
   CASE WHEN item_total_amount IS NULL THEN 'missing_item_total_amount' END, CASE WHEN item_total_amount < 0 THEN 'negative_item_total_amount' END,
   CASE WHEN item_total_amount > quantity * unit_price + {TOLERANCE} THEN 'item_total_exceeds_gross' END,
+  CASE WHEN i.source_kafka_timestamp IS NULL THEN 'missing_kafka_timestamp' END,
   CASE WHEN o.order_id IS NULL THEN 'missing_parent_order' END) AS reason
 FROM i LEFT JOIN (SELECT DISTINCT order_id FROM o WHERE order_id IS NOT NULL) o ON i.order_id = o.order_id"""
 )
@@ -378,6 +369,7 @@ def item_rules_and_parent(spark: SparkSession, d: str) -> DataFrame:
         Rule("missing_item_total_amount", F.col("item_total_amount").isNull()),
         Rule("negative_item_total_amount", F.col("item_total_amount") < 0),
         Rule("item_total_exceeds_gross", F.col("item_total_amount") > F.col("quantity") * F.col("unit_price") + F.lit(TOLERANCE).cast("decimal(10,2)")),
+        Rule("missing_kafka_timestamp", F.col("source_kafka_timestamp").isNull()),
         Rule("missing_parent_order", F.col("parent").isNull()),
     ]
     return with_reasons(j, rules, "reason").select("order_item_id", "reason")
@@ -390,18 +382,20 @@ SELECT order_item_id, v.price::DOUBLE AS price_in_force, CASE WHEN v.price IS NU
 FROM i LEFT JOIN v ON i.product_id = v.product_id AND epoch_us(i.order_timestamp) >= v.at_us AND (v.to_us IS NULL OR epoch_us(i.order_timestamp) < v.to_us)"""
 )
 def fact_item_temporal_price(spark: SparkSession, d: str) -> DataFrame:
-    v = _versions(spark, d).withColumnRenamed("price", "version_price")
-    j = versions.interval_join(_items(spark, d), v, "product_id", "order_timestamp", "effective_from", "effective_to", ["version_price"])
+    # The price in cents is the version's identity here: runs of one product never start with an equal price.
+    v = _prices(spark, d).select(F.col("product_id").alias("entity"), F.col("start").alias("start_us"), F.col("stop").alias("stop_us"), (F.col("price") * 100).cast("bigint").alias("version_id"))
+    i = _items(spark, d).select("order_item_id", F.col("product_id").alias("entity"), F.unix_micros("order_timestamp").alias("at_us"))
+    j = asof.asof_versions(i, v, [])
     return j.select(
         "order_item_id",
-        F.col("version_price").cast("double").alias("price_in_force"),
-        F.when(F.col("version_price").isNull(), "unknown_product").otherwise("temporal").alias("product_resolution"),
+        (F.col("version_id") / 100).alias("price_in_force"),
+        F.when(F.col("version_id").isNull(), "unknown_product").otherwise("temporal").alias("product_resolution"),
     )
 
 
 _RETURNS = f"""
 r AS (
-  SELECT {_id("return_refund_id")} AS return_refund_id, {_id("order_id")} AS order_id, {_id("order_item_id")} AS order_item_id, return_timestamp, refund_amount, lower(trim(return_reason, {_WS})) AS return_reason
+  SELECT {_id("return_refund_id")} AS return_refund_id, {_id("order_id")} AS order_id, {_id("order_item_id")} AS order_item_id, return_timestamp, refund_amount, lower(trim(return_reason, {_WS})) AS return_reason, source_kafka_timestamp
   FROM fact_return_refund
   QUALIFY {_id("return_refund_id")} IS NULL OR row_number() OVER (PARTITION BY {_id("return_refund_id")} ORDER BY source_kafka_timestamp DESC NULLS LAST, refund_amount DESC NULLS LAST,
     return_timestamp DESC NULLS LAST, {_id("order_item_id")} DESC NULLS LAST, {_id("order_id")} DESC NULLS LAST, lower(trim(return_reason, {_WS})) DESC NULLS LAST) = 1
@@ -419,7 +413,10 @@ def _returns(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "WITH " + _ITEMS + ", " + _RETURNS
-    + """SELECT r.return_refund_id, concat_ws('; ', CASE WHEN i.order_item_id IS NULL THEN 'missing_parent_order_item' END,
+    + """SELECT r.return_refund_id, concat_ws('; ', CASE WHEN r.return_refund_id IS NULL THEN 'missing_return_refund_id' END, CASE WHEN r.order_id IS NULL THEN 'missing_order_id' END,
+  CASE WHEN r.order_item_id IS NULL THEN 'missing_order_item_id' END, CASE WHEN r.return_timestamp IS NULL THEN 'missing_return_timestamp' END, CASE WHEN r.refund_amount IS NULL THEN 'missing_refund_amount' END,
+  CASE WHEN r.refund_amount < 0 THEN 'negative_refund_amount' END, CASE WHEN coalesce(r.return_reason, '') = '' THEN 'missing_return_reason' END, CASE WHEN r.source_kafka_timestamp IS NULL THEN 'missing_kafka_timestamp' END,
+  CASE WHEN i.order_item_id IS NULL THEN 'missing_parent_order_item' END,
   CASE WHEN i.order_item_id IS NOT NULL AND i.order_id <> r.order_id THEN 'order_item_order_mismatch' END,
   CASE WHEN r.return_timestamp < i.order_timestamp THEN 'return_before_order' END) AS reason
 FROM r LEFT JOIN (SELECT * FROM i WHERE order_item_id IS NOT NULL) i ON r.order_item_id = i.order_item_id"""
@@ -428,6 +425,14 @@ def return_relationships(spark: SparkSession, d: str) -> DataFrame:
     i = _items(spark, d).filter("order_item_id is not null").select(F.col("order_item_id").alias("item"), F.col("order_id").alias("item_order"), F.col("order_timestamp").alias("ordered"))
     j = _returns(spark, d).join(i, F.col("order_item_id") == F.col("item"), "left")
     rules = [
+        Rule("missing_return_refund_id", F.col("return_refund_id").isNull()),
+        Rule("missing_order_id", F.col("order_id").isNull()),
+        Rule("missing_order_item_id", F.col("order_item_id").isNull()),
+        Rule("missing_return_timestamp", F.col("return_timestamp").isNull()),
+        Rule("missing_refund_amount", F.col("refund_amount").isNull()),
+        Rule("negative_refund_amount", F.col("refund_amount") < 0),
+        Rule("missing_return_reason", blank("return_reason")),
+        Rule("missing_kafka_timestamp", F.col("source_kafka_timestamp").isNull()),
         Rule("missing_parent_order_item", F.col("item").isNull()),
         Rule("order_item_order_mismatch", F.col("item").isNotNull() & (F.col("item_order") != F.col("order_id"))),
         Rule("return_before_order", F.col("return_timestamp") < F.col("ordered")),
@@ -453,23 +458,6 @@ def _obt(spark: SparkSession, d: str) -> DataFrame:
     return marts.once_per_parent(i.join(o, "order_id"), "order_id", "order_item_id", "order_total")
 
 
-@query(_OBT + "SELECT order_item_id, order_id, status, quantity, (rn = 1)::INT AS is_first_row, parent_rows, (CASE WHEN rn = 1 THEN order_total ELSE 0 END)::DOUBLE AS order_total_once FROM t")
-def transactional_obt(spark: SparkSession, d: str) -> DataFrame:
-    return _obt(spark, d).select("order_item_id", "order_id", "status", "quantity", "is_first_row", "parent_rows", F.col("order_total_once").cast("double").alias("order_total_once"))
-
-
-@query(
-    _ORDERS.rstrip() + ", " + _ITEMS + ", " + _RETURNS
-    + """SELECT r.return_refund_id, i.order_item_id, o.order_id, r.refund_amount::DOUBLE AS refund_amount, i.quantity, o.status, r.return_reason
-FROM r JOIN i ON r.order_item_id = i.order_item_id JOIN o ON i.order_id = o.order_id"""
-)
-def return_refund_obt(spark: SparkSession, d: str) -> DataFrame:
-    o = _orders(spark, d).select("order_id", "status")
-    i = _items(spark, d).select("order_item_id", "order_id", "quantity")
-    r = _returns(spark, d).drop("order_id")
-    return r.join(i, "order_item_id").join(o, "order_id").select("return_refund_id", "order_item_id", "order_id", F.col("refund_amount").cast("double").alias("refund_amount"), "quantity", "status", "return_reason")
-
-
 # ------------------------------------------------------------ audits
 
 

@@ -3,8 +3,13 @@ format is Spark's own."""
 
 from __future__ import annotations
 
+import json
 import os
+import urllib.error
+import urllib.parse
+import urllib.request
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +50,24 @@ def kafka_batch(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     return with_envelope(spark.read.format("kafka").options(**kafka_options(servers, topic, ending="latest")).load())
 
 
+def schema_registry(url: str, timeout: float = 10.0) -> Callable[[str], str | None]:
+    """Lookup of the latest value schema of a topic, each asked for once. None where
+    the registry has none (404); any other failure raises."""
+    base = url.rstrip("/")
+
+    @lru_cache(maxsize=32)
+    def schema_of(topic: str) -> str | None:
+        try:
+            with urllib.request.urlopen(f"{base}/subjects/{urllib.parse.quote(topic)}-value/versions/latest", timeout=timeout) as r:
+                return json.load(r)["schema"]
+        except urllib.error.HTTPError as e:
+            if e.code == 404:
+                return None
+            raise
+
+    return schema_of
+
+
 def decode_confluent(df: DataFrame, topic: str, schema_of: Callable[[str], str | None], payload: str = "raw_value", from_avro: Callable[[Column, str], Column] | None = None) -> DataFrame | None:
     """Payload behind the 5-byte header decoded and flattened after the other
     columns; None where the registry has no schema for the topic. ``schema_of``
