@@ -198,6 +198,14 @@ def test_orphans_by_runs_equal_brute_force(spark):
     assert {x.orphan_kind for x in orphans.find_orphans(r, "ref", "key", "at", none, "k", "at", g).collect()} == {"missing", "deleted"}
 
 
+def test_no_cut_parts_a_reference_from_its_parent(spark):
+    """Many slices over keys that all have both."""
+    k = spark.range(4_000).select((F.col("id") * 3).alias("key"))
+    at = F.lit(None).cast("timestamp")
+    met = orphans.match_runs(k.select("key", at.alias("first"), at.alias("last")), k.select("key", at.alias("least")))
+    assert met.filter("not has_parent").count() == 0 and met.count() == 4_000
+
+
 def test_key_runs_compress_neighbours(spark):
     p = spark.createDataFrame([(k, None) for k in [1, 2, 3, 3, 7, 8, None]], "k bigint, t timestamp")
     runs = orphans.key_runs(orphans.parent_ages(p, "k", "t").coalesce(1))

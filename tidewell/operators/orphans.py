@@ -36,7 +36,8 @@ def match_runs(ages: DataFrame, referenced: DataFrame) -> DataFrame:
     null = lambda df, c: F.lit(None).cast(df.schema[c].dataType).alias(c)
     a = ages.select("key", F.lit(True).alias("is_parent"), "first", "last", *[null(referenced, c) for c in extra])
     b = referenced.select("key", F.lit(False).alias("is_parent"), null(ages, "first"), null(ages, "last"), *extra)
-    both = ordered_slices(a.unionByName(b), ["key", "is_parent"])
+    # Cut by key alone: a key's parent and reference must not be parted.
+    both = ordered_slices(a.unionByName(b), ["key"])
     w = W.partitionBy("slice").orderBy("key", F.col("is_parent").desc()).rowsBetween(W.unboundedPreceding, 0)
     nth = F.sum(F.col("is_parent").cast("int")).over(w)
     # Neighbouring parents whose keys follow each other have the same difference.
