@@ -17,6 +17,14 @@ from tidewell.operators import asof, changefeed, exactly_once, history, late_eve
 SMALL = "/root/testdata/sf0.001"
 EVENT = "event_key string, event_timestamp string, ingested_at string, kafka_timestamp timestamp, origin_zone string"
 
+@pytest.fixture
+def many_slices(spark):
+    """As on large data: small partitions aren't put together again."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 TEXTS = [
     "2025-10-01T10:46:44.072Z", "2025-10-01T15:27:11", "2025-10-01T17:08:06.813+02:00", "1759339067739", "1759331351.349", "1759419624779441",
     "2025-10-02 13:36:56 +0100", "02/10/2025 04:22:02", "22/10/2025 04:22:02", "10/22/2025 04:22:02", "05/05/2025 01:02:03", "31/31/2025 01:02:03", "03.10.2025 14:41",
@@ -87,6 +95,7 @@ def test_few_values_do_not_move_a_writer_without_zone(spark):
     assert {r.writer: r.zone for r in timestamps.offset_histories(votes, timestamps.candidate_zones(df, "z")).collect()}[timestamps.UNDECLARED] == "UTC"
 
 
+@pytest.mark.usefixtures("many_slices")
 def test_k_slack_states_and_values(spark):
     h = 3_600_000_000
     data = [("a", 10 * h, 11 * h), ("b", 20 * h, 25 * h), ("b", 20 * h, 60 * h), ("c", 23 * h, 95 * h), ("d", 23 * h, 95 * h + 1), ("e", 30 * h, 10 * h), ("f", None, 5), ("g", 15 * h, 15 * h)]
@@ -112,6 +121,7 @@ def _runs(points):
     return out
 
 
+@pytest.mark.usefixtures("many_slices")
 @pytest.mark.parametrize("leaf", [5, 16, 40])
 def test_tree_reduction_equals_a_scan(spark, leaf):
     rnd = random.Random(leaf)
@@ -181,6 +191,7 @@ def test_p3_uses_the_vectors_and_returns_whole_rows(spark, monkeypatch):
         assert same.exceptAll(old).count() == old.exceptAll(same).count() == 0
 
 
+@pytest.mark.usefixtures("many_slices")
 def test_orphans_by_runs_equal_brute_force(spark):
     rnd = random.Random(2)
     t = lambda h: datetime(2025, 10, 1, tzinfo=UTC) + timedelta(hours=h)
@@ -198,6 +209,7 @@ def test_orphans_by_runs_equal_brute_force(spark):
     assert {x.orphan_kind for x in orphans.find_orphans(r, "ref", "key", "at", none, "k", "at", g).collect()} == {"missing", "deleted"}
 
 
+@pytest.mark.usefixtures("many_slices")
 def test_no_cut_parts_a_reference_from_its_parent(spark):
     """Many slices over keys that all have both."""
     k = spark.range(4_000).select((F.col("id") * 3).alias("key"))
@@ -213,6 +225,7 @@ def test_key_runs_compress_neighbours(spark):
     assert all(r.stop - r.start + 1 == r.n_keys for r in runs.collect())
 
 
+@pytest.mark.usefixtures("many_slices")
 def test_a_sentinel_key_does_not_gather_the_others(spark):
     p = spark.range(100_000).select(F.col("id").alias("key"), F.lit(None).cast("timestamp").alias("first"), F.lit(None).cast("timestamp").alias("last"))
     p = p.unionByName(p.limit(1).withColumn("key", F.lit(2**62)))
