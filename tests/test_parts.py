@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import http.server
 import json
+import random
 import threading
 import urllib.error
+from datetime import date
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
-from tidewell.operators import audits, quality, versions
+from tidewell.operators import audits, publish, quality, versions
 from tidewell.plans import models
 from tidewell.sources import adapters, catalog
 
@@ -41,6 +44,67 @@ def test_registry_lookup_is_cached_and_404_is_none():
         server.shutdown()
 
 
+def test_admin_sql_shows_the_servers_error():
+    class Database(http.server.BaseHTTPRequestHandler):
+        def do_POST(self):  # noqa: N802
+            sql = self.rfile.read(int(self.headers["Content-Length"])).decode()
+            self.send_response(200 if sql == "SELECT 1" else 400)
+            self.end_headers()
+            self.wfile.write((self.headers.get("Authorization", "-") if sql == "SELECT 1" else "bad " + sql).encode())
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.HTTPServer(("127.0.0.1", 0), Database)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        url = f"http://127.0.0.1:{server.server_port}/"
+        assert adapters.admin_sql(url, "SELECT 1", "u", "p") == "Basic dTpw"
+        with pytest.raises(RuntimeError, match="bad nonsense"):
+            adapters.admin_sql(url, "nonsense")
+    finally:
+        server.shutdown()
+
+
+@pytest.mark.parametrize("together", ["true", "false"])
+def test_versions_that_hold_are_counted_without_pairs(spark, together):
+    rnd = random.Random(3)
+    v = [(rnd.choice("ab"), rnd.randrange(30), rnd.choice([None, rnd.randrange(40)])) for _ in range(40)] + [(None, 1, 2), ("a", None, 3)]
+    f = [(i, rnd.choice(["a", "b", "c", None]), rnd.choice([None, *range(40)])) for i in range(120)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", together)
+    got = versions.matches_at(spark.createDataFrame(f, "i int, k string, t int"), spark.createDataFrame(v, "k string, a int, z int"), "k", "t", "a", "z")
+    want = [(i, sum(k is not None and t is not None and x == k and a is not None and a <= t and (z is None or t < z) for x, a, z in v)) for i, k, t in f]
+    assert rows(got, "i", "matches") == want
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_classified_once_for_two_branches(spark):
+    df = spark.createDataFrame([(1,), (None,)], "k int")
+    with quality.classified(df, [quality.Rule("missing_k", F.col("k").isNull())]) as (good, bad):
+        assert (good.count(), bad.count()) == (1, 1) and bad.first()[quality.REASON] == "missing_k"
+
+
+def test_days_are_ranges():
+    with pytest.raises(ValueError, match="before"):
+        quality.inclusive_days("t", date(2026, 1, 2), date(2026, 1, 1))
+
+
+def test_log_of_publications(spark, tmp_path):
+    t = publish.VersionedTable(spark, str(tmp_path / "t"))
+    assert t.log().count() == 0
+    for _ in range(2):
+        t.publish(spark.range(1))
+    t.rollback(1)
+    assert rows(t.log()) == [(1, 1, False), (2, 2, False), (3, 1, True)]
+
+
+def test_comparison_with_the_brokers_log_and_report(spark):
+    a = spark.createDataFrame([(0, 1), (0, 2), (0, 2)], "p int, o int")
+    b = spark.createDataFrame([(0, 2), (0, 3)], "p int, o int")
+    assert rows(audits.compare_with_log(a, b, ["p", "o"])) == [(0, 1, "stored_only"), (0, 3, "missing")]
+    assert json.loads(audits.json_report({"x": a})) == {"x": [{"o": 1, "p": 0}, {"o": 2, "p": 0}, {"o": 2, "p": 0}]}
+
+
 def test_catalog_tables(spark):
     df = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
     catalog.drop(spark, "t_parts")

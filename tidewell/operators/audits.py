@@ -78,3 +78,41 @@ def write_report(source: DataFrame, written: DataFrame, identity: list[str], pay
     zero = lambda c: F.coalesce(F.sum(c), F.lit(0))
     m = keys.agg(zero("a").alias("a"), zero("b").alias("b"), zero(F.when(F.col("b") > 1, 1).otherwise(0)).alias("twice"), zero("differ").alias("differ"), zero("no_day").alias("no_day"))
     return checks(m, {"same_rows": F.col("a") == F.col("b"), "no_identity_twice": F.col("twice") == 0, "same_payloads": F.col("differ") == 0, "no_null_day": F.col("no_day") == 0})
+
+
+def numeric_range(df: DataFrame, column: str) -> DataFrame:
+    """(column_name, least, greatest, mean, n_values) of a numeric column."""
+    by_value = df.groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    n = F.when(F.col("v").isNotNull(), F.col("n"))
+    total = F.sum(F.col("v").cast("decimal(28,6)") * n)
+    return by_value.agg(
+        F.min("v").cast("double").alias("least"), F.max("v").cast("double").alias("greatest"), F.round(total.cast("double") / F.sum(n), 6).alias("mean"), F.count("v").alias("n_values")
+    ).select(F.lit(column).alias("column_name"), "least", "greatest", "mean", "n_values")
+
+
+def compare_with_log(stored: DataFrame, log: DataFrame, identity: list[str]) -> DataFrame:
+    """(identity, finding): what the broker's log has and the dataset lacks
+    ('missing', a failure) and what only the dataset has ('stored_only', a warning,
+    as the log forgets)."""
+    both = missing_both_ways(stored, log, identity)
+    return both.select(*identity, F.when(F.col("side") == "missing_in_a", "missing").otherwise("stored_only").alias("finding"))
+
+
+def source_report(df: DataFrame, group: list[str], identity: list[str], payload: list[str], times: list[str]) -> DataFrame:
+    """By group: rows, identities, identities with several payloads, rows without
+    any of ``times``, and a verdict: PASS, or REVIEW_REQUIRED where something is
+    repeated with another payload or has no time."""
+    h = F.sha2(F.to_json(F.struct(*sorted(payload)), {"ignoreNullFields": "false"}), 256)
+    untimed = F.coalesce(*[F.col(t) for t in times]).isNull()
+    pairs = df.select(*group, *identity, h.alias("h"), untimed.alias("u")).groupBy(*group, *identity, "h").agg(F.count(F.lit(1)).alias("n"), F.count_if("u").alias("u"))
+    keys = pairs.groupBy(*group, *identity).agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.sum("u").alias("u"))
+    out = keys.groupBy(*group).agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_identities"), F.count_if(F.col("k") > 1).alias("n_conflicts"), F.sum("u").alias("n_untimed"))
+    return out.withColumn("verdict", F.when((F.col("n_conflicts") > 0) | (F.col("n_untimed") > 0), "REVIEW_REQUIRED").otherwise("PASS"))
+
+
+def json_report(frames: dict[str, DataFrame]) -> str:
+    """Small audit frames as one JSON text, rows in a fixed order."""
+    import json
+
+    rows = {name: sorted((r.asDict(recursive=True) for r in df.collect()), key=str) for name, df in frames.items()}
+    return json.dumps(rows, indent=1, default=str, sort_keys=True)

@@ -74,6 +74,15 @@ class VersionedTable:
         self._point(v)
         return v
 
+    def log(self) -> DataFrame:
+        """(step, version, is_current): every pointer that was set, in order; the
+        table's history of publications and rollbacks."""
+        root = self._p(self.path)
+        names = [s.getPath().getName() for s in self.fs.listStatus(root)] if self.fs.exists(root) else []
+        steps = sorted((int(m.split("-")[1]), int(m.split("-")[2])) for m in names if m.startswith("CURRENT-"))
+        rows = [(n, v, (n, v) == steps[-1]) for n, v in steps]
+        return self.spark.createDataFrame(rows, "step bigint, version bigint, is_current boolean")
+
     def rollback(self, version: int) -> None:
         if version not in self.versions():
             raise ValueError(f"{self.path} has no version {version}")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +34,29 @@ def split_valid(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]
     return marked.filter(F.col(REASON) == "").drop(REASON), marked.filter(F.col(REASON) != "")
 
 
+@contextmanager
+def classified(df: DataFrame, rules: list[Rule]) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """(valid, invalid) for several actions: classified once, kept in memory or on
+    disk while the block runs, and released at its end whatever happens."""
+    marked = with_reasons(df, rules).persist()
+    try:
+        yield marked.filter(F.col(REASON) == "").drop(REASON), marked.filter(F.col(REASON) != "")
+    finally:
+        marked.unpersist()
+
+
+def inclusive_days(column: str, first: date, last: date) -> Column:
+    """The timestamp lies on a day from ``first`` to ``last``, as a range that
+    reaches the scan."""
+    if last < first:
+        raise ValueError(f"{last} is before {first}")
+    return (F.col(column) >= F.lit(first).cast("timestamp")) & (F.col(column) < F.lit(last + timedelta(days=1)).cast("timestamp"))
+
+
+def whole_day(column: str, day: date) -> Column:
+    return inclusive_days(column, day, day)
+
+
 def quarantine(invalid: DataFrame, entity: str, topic: str, as_of: Column, key: str | None = None) -> DataFrame:
     """Adds _dq_quarantine_id (SHA-256 of the Kafka coordinates), _dq_entity,
     _dq_source_topic, _dq_business_key, _dq_status and _dq_quarantined_at, one row

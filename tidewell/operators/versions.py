@@ -108,6 +108,33 @@ def close_current(target: DataFrame, staged: DataFrame, key: str, start: str = "
     return hit.withColumns({stop: F.when(ends, F.col("__from")).otherwise(F.col(stop)), current: F.col(current) & ~ends}).select(*target.columns)
 
 
+def matches_at(facts: DataFrame, versions: DataFrame, key: str, at: str, start: str, stop: str) -> DataFrame:
+    """The facts with how many versions [start, stop) of their key hold at their
+    time, from running sums instead of pairs: a version counts one from its start
+    and minus one from its stop (an empty one counts nothing). A key's rows are
+    summed in slices of the order (key, time), then over the slices."""
+    from tidewell.operators.slices import ordered_slices
+
+    null = F.lit(None)
+    names = [c for c in facts.columns if c not in (key, at)]
+    v = versions.filter(F.col(key).isNotNull() & F.col(start).isNotNull() & (F.col(stop).isNull() | (F.col(stop) > F.col(start)))).select(
+        F.col(key).alias("__k"), F.explode(F.array(F.struct(F.col(start).alias("t"), F.lit(1).alias("d")), F.struct(F.col(stop).alias("t"), F.lit(-1).alias("d")))).alias("e")
+    )
+    steps = v.filter("e.t is not null").groupBy("__k", F.col("e.t").alias("__t")).agg(F.sum("e.d").cast("bigint").alias("__d"))
+    timed = facts.filter(F.col(key).isNotNull() & F.col(at).isNotNull())
+    rest = facts.filter(F.col(key).isNull() | F.col(at).isNull()).withColumn("matches", F.lit(0).cast("bigint"))
+    payload = F.struct(*names) if names else F.struct(F.lit(1).alias("one"))
+    a = timed.select(F.col(key).alias("__k"), F.col(at).alias("__t"), F.lit(0).cast("bigint").alias("__d"), payload.alias("__f"))
+    b = steps.select("__k", "__t", "__d", null.cast(a.schema["__f"].dataType).alias("__f"))
+    both = ordered_slices(a.unionByName(b), ["__k", "__t"], "__slice")
+    inside = F.sum("__d").over(W.partitionBy("__slice", "__k").orderBy("__t").rangeBetween(W.unboundedPreceding, 0))
+    sums = both.groupBy("__slice", "__k").agg(F.sum("__d").alias("s"))
+    before = sums.withColumn("__before", F.coalesce(F.sum("s").over(W.partitionBy("__k").orderBy("__slice").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("s")
+    out = both.withColumn("__in", inside).filter("__f is not null").join(before, ["__slice", "__k"])
+    out = out.select(F.col("__k").alias(key), F.col("__t").alias(at), *[F.col(f"__f.{c}").alias(c) for c in names], (F.col("__in") + F.col("__before")).alias("matches"))
+    return out.unionByName(rest)
+
+
 def overlaps(versions: DataFrame, key: str, start: str, stop: str) -> DataFrame:
     """Versions that last beyond the start of the next one of their key."""
     w = W.partitionBy(key).orderBy(start, F.col(stop).asc_nulls_last())

@@ -392,3 +392,63 @@ def offset_completeness(spark: SparkSession, d: str) -> DataFrame:
     missing, repeated = F.col("max_offset") - F.col("min_offset") + 1 - F.col("n_offsets"), F.col("n_rows") - F.col("n_offsets")
     verdict = F.when(missing > 0, "FAIL").when(repeated > 0, "WARN").otherwise("PASS")
     return s.select("kafka_topic", "kafka_partition", repeated.alias("n_repeated"), missing.alias("n_missing"), verdict.alias("verdict"))
+
+
+_CHANGE_PAYLOAD = ["table_name", "record_key", "op", "commit_lsn", "payload_json"]
+
+
+@query(
+    f"""WITH k AS (SELECT kafka_topic, kafka_partition, kafka_offset, count(*) AS n, count(DISTINCT ({", ".join(_CHANGE_PAYLOAD)})) AS p, count(*) FILTER (WHERE coalesce(commit_timestamp, kafka_timestamp, ingested_at) IS NULL) AS u FROM raw_change GROUP BY 1, 2, 3)
+SELECT kafka_topic, sum(n)::BIGINT AS n_rows, count(*) AS n_identities, count(*) FILTER (WHERE p > 1) AS n_conflicts, sum(u)::BIGINT AS n_untimed,
+  CASE WHEN count(*) FILTER (WHERE p > 1) > 0 OR sum(u) > 0 THEN 'REVIEW_REQUIRED' ELSE 'PASS' END AS verdict FROM k GROUP BY 1"""
+)
+def change_source_report(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "raw_change", [*_CHANGE_PAYLOAD, "kafka_topic", "kafka_partition", "kafka_offset", "commit_timestamp", "kafka_timestamp", "ingested_at"])
+    return audits.source_report(c, ["kafka_topic"], ["kafka_partition", "kafka_offset"], _CHANGE_PAYLOAD, ["commit_timestamp", "kafka_timestamp", "ingested_at"])
+
+
+@query(
+    f"""WITH {_sql('o')}, {_sql('i')}, {_sql('r')}, {_sql('u')}, sums AS (SELECT order_id, sum(item_total_amount) AS total FROM i GROUP BY 1),
+vs AS (SELECT {star._id("product_id")} AS product_id, effective_from, effective_to FROM dim_product WHERE effective_from IS NOT NULL),
+mt AS (SELECT i.order_item_id, count(vs.product_id) AS m FROM i LEFT JOIN (SELECT product_id, effective_from, max(effective_to) FILTER (WHERE effective_to IS NOT NULL) AS a, bool_or(effective_to IS NULL) AS open FROM vs GROUP BY 1, 2) vs
+  ON i.product_id = vs.product_id AND i.order_timestamp >= vs.effective_from AND (vs.open OR i.order_timestamp < vs.a) GROUP BY 1),
+x AS (SELECT
+  (SELECT count(*) FROM o WHERE order_id NOT IN (SELECT order_id FROM i WHERE order_id IS NOT NULL)) AS orders_without_items,
+  (SELECT count(*) FROM i WHERE order_id IS NULL OR order_id NOT IN (SELECT order_id FROM o)) AS items_without_order,
+  (SELECT count(*) FROM r WHERE order_item_id IS NULL OR order_item_id NOT IN (SELECT order_item_id FROM i)) AS returns_without_item,
+  (SELECT count(*) FROM o WHERE user_sk IS NULL OR user_sk NOT IN (SELECT user_sk FROM u)) AS orders_without_user,
+  (SELECT count(*) FROM o JOIN sums USING (order_id) WHERE abs(order_total - total) > 0.01) AS totals_that_differ,
+  (SELECT count(*) FROM r JOIN i USING (order_item_id) WHERE r.order_id <> i.order_id) AS returns_of_another_order,
+  (SELECT count(*) FROM r JOIN i USING (order_item_id) WHERE r.return_timestamp < i.order_timestamp) AS returns_before_order,
+  (SELECT count(*) FROM mt WHERE m = 0) AS items_without_version, (SELECT count(*) FROM mt WHERE m > 1) AS items_with_several_versions,
+  (SELECT count(*) FROM i JOIN o USING (order_id) WHERE i.order_timestamp IS DISTINCT FROM o.order_timestamp) AS item_times_that_differ)
+UNPIVOT x ON COLUMNS(*) INTO NAME finding VALUE n_rows""".replace("UNPIVOT x", "SELECT * FROM (UNPIVOT x").rstrip() + ")"
+)
+def order_relationship_audit(spark: SparkSession, d: str) -> DataFrame:
+    """Ten checks between orders, items, returns, users and product versions."""
+    o, i, r, u = (latest(spark, d, n) for n in "oiru")
+    by_order = i.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"), F.sum("item_total_amount").alias("total"))
+    known = u.select(F.col("user_sk").alias("known"))
+    oo = o.join(by_order, "order_id", "left").join(known, F.col("user_sk") == F.col("known"), "left")
+    a = oo.agg(
+        F.count_if(F.col("n").isNull()).alias("orders_without_items"), F.count_if(F.col("known").isNull()).alias("orders_without_user"),
+        F.count_if(F.abs(F.col("order_total") - F.col("total")) > F.lit("0.01").cast("decimal(10,2)")).alias("totals_that_differ"),
+    )
+    parents = o.select(F.col("order_id").alias("parent"), F.col("order_timestamp").alias("ordered"))
+    b = i.join(parents, F.col("order_id") == F.col("parent"), "left").agg(
+        F.count_if(F.col("parent").isNull()).alias("items_without_order"), F.count_if(F.col("parent").isNotNull() & ~F.col("ordered").eqNullSafe(F.col("order_timestamp"))).alias("item_times_that_differ")
+    )
+    items = i.select(F.col("order_item_id").alias("item"), F.col("order_id").alias("item_order"), F.col("order_timestamp").alias("ordered"))
+    c = r.join(items, F.col("order_item_id") == F.col("item"), "left").agg(
+        F.count_if(F.col("item").isNull()).alias("returns_without_item"), F.count_if(F.col("order_id") != F.col("item_order")).alias("returns_of_another_order"),
+        F.count_if(F.col("return_timestamp") < F.col("ordered")).alias("returns_before_order"),
+    )
+    v = table(spark, d, "dim_product", ["product_id", "effective_from", "effective_to"]).filter("effective_from is not null").groupBy(norm_id("product_id").alias("product_id"), "effective_from")
+    v = v.agg(F.max("effective_to").alias("stop"), F.bool_or(F.col("effective_to").isNull()).alias("open")).withColumn("stop", F.when(~F.col("open"), F.col("stop"))).drop("open")
+    matches = versions.matches_at(i.select("order_item_id", "product_id", "order_timestamp"), v, "product_id", "order_timestamp", "effective_from", "stop")
+    e = matches.agg(F.count_if(F.col("matches") == 0).alias("items_without_version"), F.count_if(F.col("matches") > 1).alias("items_with_several_versions"))
+    out = None
+    for m in (a, b, c, e):
+        part = m.select(F.explode(F.array(*[F.struct(F.lit(k).alias("finding"), F.col(k).alias("n_rows")) for k in m.columns])).alias("f")).select("f.*")
+        out = part if out is None else out.unionByName(part)
+    return out

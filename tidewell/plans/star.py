@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidewell.functions.ids import blank, date_sk, norm_id, strip
 from tidewell.operators import asof, audits, changefeed, marts, versions
 from tidewell.operators.calendar import calendar
-from tidewell.operators.quality import Rule, quarantine, split_valid, with_reasons
+from tidewell.operators.quality import Rule, inclusive_days, quarantine, split_valid, whole_day, with_reasons
 from tidewell.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -501,13 +501,14 @@ def fk_orphans(spark: SparkSession, d: str) -> DataFrame:
     return i.join(o, "order_id", "left_anti")
 
 
+_LINE = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
 @query(
-    """SELECT l_orderkey, l_linenumber, count(DISTINCT (l_partkey, l_suppkey, l_quantity)) AS n_payloads FROM lineitem
-GROUP BY 1, 2 HAVING count(DISTINCT (l_partkey, l_suppkey, l_quantity)) > 1"""
+    f"SELECT l_orderkey, l_linenumber, count(DISTINCT ({', '.join(_LINE)})) AS n_payloads FROM lineitem GROUP BY 1, 2 HAVING count(DISTINCT ({', '.join(_LINE)})) > 1"
 )
 def payload_conflicts(spark: SparkSession, d: str) -> DataFrame:
-    cols = ["l_partkey", "l_suppkey", "l_quantity"]
-    return audits.payload_conflicts(table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", *cols]), ["l_orderkey", "l_linenumber"], cols)
+    return audits.payload_conflicts(table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", *_LINE]), ["l_orderkey", "l_linenumber"], _LINE)
 
 
 @query("SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1 ORDER BY n_rows DESC, l_orderkey, l_linenumber LIMIT 20")
@@ -516,7 +517,7 @@ def top_repeated_keys(spark: SparkSession, d: str) -> DataFrame:
     return k.orderBy(F.col("n_rows").desc(), "l_orderkey", "l_linenumber").limit(20)
 
 
-_PROFILED = ["order_id", "user_sk", "order_timestamp", "order_total", "status", "payment_method", "source_kafka_timestamp"]
+_PROFILED = ["order_sk", "order_id", "user_sk", "order_date_sk", "order_timestamp", "order_total", "status", "payment_method", "source_kafka_timestamp", "silver_created_at", "silver_updated_at"]
 
 
 @query(
@@ -541,15 +542,43 @@ def offset_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """SELECT kafka_topic, kafka_partition, kafka_offset, max(gen) AS generation_priority FROM (
-  SELECT kafka_topic, kafka_partition, kafka_offset, 1 AS gen FROM raw_change UNION ALL
-  SELECT kafka_topic, kafka_partition, kafka_offset, 2 FROM raw_change WHERE op IS NOT NULL) GROUP BY 1, 2, 3"""
+    """SELECT l_orderkey, l_linenumber, max(gen) AS generation_priority FROM (SELECT o_orderkey AS l_orderkey, 1 AS l_linenumber, 1 AS gen FROM orders UNION ALL SELECT l_orderkey, l_linenumber, 2 FROM lineitem) GROUP BY 1, 2"""
 )
 def canonical_generation_merge(spark: SparkSession, d: str) -> DataFrame:
-    cols = ["kafka_topic", "kafka_partition", "kafka_offset", "op", "ingested_at", "kafka_timestamp"]
-    c = table(spark, d, "raw_change", cols)
-    merged = versions.canonical_generations([c, c.filter("op is not null")], ["kafka_topic", "kafka_partition", "kafka_offset"], ["ingested_at", "kafka_timestamp", "op"])
-    return merged.select("kafka_topic", "kafka_partition", "kafka_offset", "generation_priority")
+    """One row an identity over two datasets of their own, the later one first."""
+    first = table(spark, d, "orders", ["o_orderkey"]).select(F.col("o_orderkey").alias("l_orderkey"), F.lit(1).alias("l_linenumber"))
+    second = table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate", "l_quantity"])
+    merged = versions.canonical_generations([first, second], ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_quantity"])
+    return merged.select("l_orderkey", "l_linenumber", "generation_priority")
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, min({c})::DOUBLE AS least, max({c})::DOUBLE AS greatest, round(avg({c}), 6)::DOUBLE AS mean, count(DISTINCT {c}) AS n_values FROM {t}"
+        for t, c in (("fact_order", "order_total"), ("fact_order_item", "quantity"), ("fact_order_item", "unit_price"), ("fact_return_refund", "refund_amount"), ("dim_product", "price"))
+    )
+)
+def numeric_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Range, mean and distinct values of the numeric columns, from their counts by
+    value, so that no row is expanded for the distinct count."""
+    out = None
+    for t, c in (("fact_order", "order_total"), ("fact_order_item", "quantity"), ("fact_order_item", "unit_price"), ("fact_return_refund", "refund_amount"), ("dim_product", "price")):
+        part = audits.numeric_range(table(spark, d, t, [c]), c)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query(f"SELECT order_id, order_total::DOUBLE AS order_total FROM ({_ORDERS} SELECT * FROM o) WHERE order_timestamp >= TIMESTAMPTZ '2026-01-10 00:00:00+00' AND order_timestamp < TIMESTAMPTZ '2026-01-21 00:00:00+00'")
+def orders_of_days(spark: SparkSession, d: str) -> DataFrame:
+    """Orders from the 10th to the 20th of January 2026, both days included."""
+    o = _orders(spark, d).filter(inclusive_days("order_timestamp", date(2026, 1, 10), date(2026, 1, 20)))
+    return o.select("order_id", F.col("order_total").cast("double").alias("order_total"))
+
+
+@query(f"SELECT order_id, order_total::DOUBLE AS order_total FROM ({_ORDERS} SELECT * FROM o) WHERE (order_timestamp AT TIME ZONE 'UTC')::DATE = DATE '2026-01-15'")
+def orders_on_day(spark: SparkSession, d: str) -> DataFrame:
+    o = _orders(spark, d).filter(whole_day("order_timestamp", date(2026, 1, 15)))
+    return o.select("order_id", F.col("order_total").cast("double").alias("order_total"))
 
 
 _GONE_ORDERS = f"SELECT DISTINCT {_id('kafka_key')} AS order_id FROM raw_tombstone WHERE kafka_topic = 'transactional.orders' AND order_id IS NULL AND user_id IS NULL AND {_id('kafka_key')} IS NOT NULL"

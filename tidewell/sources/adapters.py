@@ -3,6 +3,7 @@ format is Spark's own."""
 
 from __future__ import annotations
 
+import base64
 import json
 import os
 import urllib.error
@@ -122,3 +123,16 @@ def read_jdbc(spark: SparkSession, url: str, table: str, **extra: str) -> DataFr
 
 def append_jdbc(df: DataFrame, url: str, table: str, **extra: str) -> None:
     df.write.format("jdbc").options(**jdbc_options(url, table, **extra)).mode("append").save()
+
+
+def admin_sql(url: str, sql: str, user: str = "", password: str = "", timeout: float = 120.0) -> str:
+    """Sends a statement to a database's HTTP interface and gives back its answer;
+    a failure raises with the body of the server's reply."""
+    request = urllib.request.Request(url, data=sql.encode(), method="POST")
+    if user:
+        request.add_header("Authorization", "Basic " + base64.b64encode(f"{user}:{password}".encode()).decode())
+    try:
+        with urllib.request.urlopen(request, timeout=timeout) as r:
+            return r.read().decode()
+    except urllib.error.HTTPError as e:
+        raise RuntimeError(f"HTTP {e.code}: {e.read().decode(errors='replace')}") from e
