@@ -15,6 +15,7 @@ from tidewell.functions.ids import date_sk, norm_id, strip
 from tidewell.operators import marts, timestamps
 from tidewell.plans.instant_sql import INSTANTS
 from tidewell.plans.star import _id
+from tidewell.session import shared_dir
 from tidewell.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +49,14 @@ def _timed(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     return timestamps.with_instants(table(spark, d, "fact_behavioral_event", list(c)))
 
 
+def _events_once(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """As ``_events``, for marts that read the events several times: written once to
+    the shared checkpoint folder, so times are read once and a lost executor
+    doesn't read them again."""
+    shared_dir(spark)
+    return _events(spark, d, *columns).checkpoint()
+
+
 def _events(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     """One row an event with its time and ``columns``. Of redelivered rows one
     stays whole: the least of (time, ..., columns), so no row comes out that was
@@ -170,7 +179,7 @@ def behavioral_daily(spark: SparkSession, d: str) -> DataFrame:
     o = _orders_with_units(spark, d).withColumn("date_sk", date_sk(F.col("order_timestamp"))).filter("date_sk is not null")
     by_customer = o.groupBy("date_sk", "user_sk").agg(F.count(F.lit(1)).alias("orders"), F.sum("units").alias("units"), F.sum("order_total").alias("gross"))
     commerce = by_customer.groupBy("date_sk").agg(F.sum("orders").alias("orders"), F.count("user_sk").alias("customers"), F.sum("units").alias("units"), F.sum("gross").alias("gross"))
-    out = marts.daily(_events(spark, d, "success", "results_count", "clicked_position", "http_status", "duration_sec"), commerce)
+    out = marts.daily(_events_once(spark, d, "success", "results_count", "clicked_position", "http_status", "duration_sec"), commerce)
     return out.withColumns({c: F.col(c).cast("double") for c in ("gross_revenue", "net_revenue", "discounts", "refunds")})
 
 
@@ -201,7 +210,7 @@ SELECT user_id, date_sk, sessions, events, duration_sec, """
   search_events > 0 AS was_searcher, add_to_cart_events > 0 AS was_cart_user, checkout_start_events > 0 AS was_checkout_user, order_complete_events > 0 AS was_buyer, review_events > 0 AS was_reviewer FROM x"""
 )
 def user_daily_activity(spark: SparkSession, d: str) -> DataFrame:
-    return marts.user_daily(_events(spark, d, "success", "order_id", "duration_sec"))
+    return marts.user_daily(_events_once(spark, d, "success", "order_id", "duration_sec"))
 
 
 @query(
@@ -234,7 +243,7 @@ _SESSION_TIMED = ["page_view", "search", "add_to_cart", "checkout_start", "succe
     + f"coalesce(trim(location, {_WS}), '') AS country, coalesce(trim(loyalty_tier, {_WS}), '') AS segment FROM s LEFT JOIN mt USING (session_id) LEFT JOIN us ON s.user_id = us.user_id"
 )
 def session_summary(spark: SparkSession, d: str) -> DataFrame:
-    e = _events(spark, d, "success", "url_path", "product_id", "order_id").withColumn("order_id", norm_id("order_id"))
+    e = _events_once(spark, d, "success", "url_path", "product_id", "order_id").withColumn("order_id", norm_id("order_id"))
     u = table(spark, d, "dim_user", ["user_id", "location", "loyalty_tier", "source_kafka_timestamp"]).withColumn("user_id", norm_id("user_id")).filter("user_id is not null")
     u = u.groupBy("user_id").agg(F.max(F.struct("source_kafka_timestamp", "location", "loyalty_tier")).alias("r")).select("user_id", "r.location", "r.loyalty_tier")
     out = marts.sessions(e, _orders_with_units(spark, d).select("order_id", "order_total", "units"), u)
@@ -304,7 +313,7 @@ def entity_product_daily(spark: SparkSession, d: str) -> DataFrame:
         "views": _if(s["page_view"]), "cart_adds": _if(s["add_to_cart"]), "wishlist_adds": _if(s["wishlist_add"]), "purchases": _if(s["order_complete"]),
         "units_sold": _if(s["add_to_cart"], "quantity"), "reviews": _if(s["review"]), "rating_sum": _if(s["review"], "rating"),
     }
-    return marts.entity_daily(_events(spark, d, *_ENTITY["product"][3]), F.col("product_id"), F.lit(True), measures, {"cart_users": s["add_to_cart"]})
+    return marts.entity_daily(_events_once(spark, d, *_ENTITY["product"][3]), F.col("product_id"), F.lit(True), measures, {"cart_users": s["add_to_cart"]})
 
 
 @query(_entity_sql(*_ENTITY["search_query"]))
@@ -316,14 +325,14 @@ def entity_search_daily(spark: SparkSession, d: str) -> DataFrame:
     }
     sessions = {"to_cart_sessions": s["add_to_cart"], "to_order_sessions": s["order_complete"]}
     key = F.nullif(F.lower(strip("search_query")), F.lit(""))
-    return marts.entity_daily(_events(spark, d, *_ENTITY["search_query"][3]), key, s["search"], measures, sessions=sessions)
+    return marts.entity_daily(_events_once(spark, d, *_ENTITY["search_query"][3]), key, s["search"], measures, sessions=sessions)
 
 
 @query(_entity_sql(*_ENTITY["page"]))
 def entity_page_daily(spark: SparkSession, d: str) -> DataFrame:
     """Entrances and exits are sessions whose first or last event of the day is a
     view of the page."""
-    e = _events(spark, d, *_ENTITY["page"][3])
+    e = _events_once(spark, d, *_ENTITY["page"][3])
     key = F.struct("at_us", "event_key")
     ends = e.filter("session_id is not null and date_sk is not null").groupBy("date_sk", "session_id").agg(
         F.min(key)["event_key"].alias("first_key"), F.max(key)["event_key"].alias("last_key"), F.count(F.lit(1)).alias("n")
