@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidewell.operators import audits, publish, quality, versions
 from tidewell.plans import models
-from tidewell.sources import adapters, catalog
+from tidewell.sources import adapters, bronze, catalog
 
 
 def test_registry_lookup_is_cached_and_404_is_none():
@@ -169,3 +169,13 @@ def test_facts_of_unknown_keys_keep_their_rows(spark):
     f = spark.createDataFrame([(1, 10), (2, None), (3, 99)], "i int, user_sk bigint")
     u = spark.createDataFrame([(10, "x"), (-1, "unknown")], "user_sk bigint, name string")
     assert rows(models.with_member(f, u, "user_sk", -1).na.fill("-"), "i", "user_sk", "name") == [(1, 10, "x"), (2, -1, "-"), (3, -1, "-")]
+
+
+def test_days_without_a_folder_are_skipped_and_told(spark, tmp_path):
+    from datetime import datetime
+
+    base, said = str(tmp_path), []
+    spark.range(3).write.parquet(bronze.topic_path(base, "a.b", day="2026-01-02"))
+    span = (datetime(2026, 1, 1), datetime(2026, 1, 3))
+    assert bronze.read_days(spark, base, "a.b", *span, log=said.append).count() == 3 and len(said) == 1
+    assert bronze.read_days(spark, base, "none", *span) is None

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions.ids import date_sk, norm_id, strip
-from tidewell.operators import audits, history, marts, quality, versions
+from tidewell.operators import asof, audits, history, marts, quality, versions
 from tidewell.operators.calendar import calendar
 from tidewell.plans import star
 from tidewell.sources.tables import table
@@ -452,3 +452,85 @@ def order_relationship_audit(spark: SparkSession, d: str) -> DataFrame:
         part = m.select(F.explode(F.array(*[F.struct(F.lit(k).alias("finding"), F.col(k).alias("n_rows")) for k in m.columns])).alias("f")).select("f.*")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+# ------------------------------------------------------------ facts as loaded
+
+
+def _reasons_sql(name: str) -> str:
+    """The registered validation's SQL, as a subquery by key."""
+    return star.ORACLES[name]
+
+
+@query(
+    f"WITH {_sql('o')}, ok AS (SELECT order_id FROM ({_reasons_sql('order_validation')}) WHERE reason = ''), us AS (SELECT DISTINCT user_sk FROM dim_user WHERE user_sk IS NOT NULL)"
+    + """ SELECT o.order_id, coalesce(us.user_sk, -1) AS user_sk, strftime(order_timestamp AT TIME ZONE 'UTC', '%Y%m%d')::INT AS order_date_sk, epoch_us(order_timestamp) AS order_us, order_total::DOUBLE AS order_total, status, payment_method,
+  epoch_us(source_kafka_timestamp) AS source_us FROM o JOIN ok USING (order_id) LEFT JOIN us ON o.user_sk = us.user_sk"""
+)
+def fact_order(spark: SparkSession, d: str) -> DataFrame:
+    """Valid orders with their user, the unknown one where it isn't there."""
+    valid, _ = quality.split_valid(star._orders(spark, d), star._order_rules())
+    users = table(spark, d, "dim_user", ["user_sk"]).filter("user_sk is not null").distinct()
+    return with_member(valid, users, "user_sk", -1).select(
+        "order_id", "user_sk", date_sk(F.col("order_timestamp")).alias("order_date_sk"), F.unix_micros("order_timestamp").alias("order_us"), F.col("order_total").cast("double").alias("order_total"),
+        "status", "payment_method", F.unix_micros("source_kafka_timestamp").alias("source_us"),
+    )
+
+
+_ITEM_FACT = """, ok AS (SELECT order_item_id FROM ({reasons}) WHERE reason = ''),
+vv AS (SELECT {pid} AS product_id, effective_from, effective_to, product_sk FROM dim_product WHERE effective_from IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY {pid}, effective_from ORDER BY effective_to DESC NULLS FIRST, product_sk DESC) = 1),
+jj AS (SELECT i.*, CASE WHEN vv.product_sk IS NOT NULL AND (vv.effective_to IS NULL OR vv.effective_to > i.order_timestamp) THEN vv.product_sk END AS sk FROM i ASOF LEFT JOIN vv ON i.product_id = vv.product_id AND i.order_timestamp >= vv.effective_from)
+SELECT jj.order_item_id, jj.order_id, jj.product_id, coalesce(sk, 0) AS product_sk, CASE WHEN sk IS NULL THEN 'unknown_product' ELSE 'temporal' END AS product_resolution, quantity, unit_price::DOUBLE AS unit_price,
+  item_total_amount::DOUBLE AS item_total_amount, epoch_us(order_timestamp) AS order_us FROM jj JOIN ok USING (order_item_id)""".format(reasons=_reasons_sql("item_rules_and_parent"), pid=star._id("product_id"))
+
+
+@query("WITH " + star._ITEMS + _ITEM_FACT)
+def fact_order_item(spark: SparkSession, d: str) -> DataFrame:
+    """Valid items with the product version in force at their time and how it was
+    resolved; the unknown product where none was."""
+    i = star._judged_items(spark, d).filter("reason = ''").select(
+        "order_item_id", "order_id", "product_id", "quantity", F.col("unit_price").cast("double").alias("unit_price"), F.col("item_total_amount").cast("double").alias("item_total_amount"),
+        F.unix_micros("order_timestamp").alias("at_us"), F.col("product_id").alias("entity"),
+    )
+    v = table(spark, d, "dim_product", ["product_id", "product_sk", "effective_from", "effective_to"]).select(
+        norm_id("product_id").alias("entity"), F.unix_micros("effective_from").alias("start_us"), F.unix_micros("effective_to").alias("stop_us"), F.col("product_sk").alias("version_id")
+    )
+    j = asof.asof_versions(i, v, [])
+    held = F.col("version_id").isNotNull() & (F.col("stop_us").isNull() | (F.col("stop_us") > F.col("at_us")))
+    return j.select(
+        "order_item_id", "order_id", "product_id", F.when(held, F.col("version_id")).otherwise(F.lit(0).cast("bigint")).alias("product_sk"), F.when(held, "temporal").otherwise("unknown_product").alias("product_resolution"),
+        "quantity", "unit_price", "item_total_amount", F.col("at_us").alias("order_us"),
+    )
+
+
+@query(
+    "WITH " + star._RETURNS + f", ok AS (SELECT return_refund_id FROM ({_reasons_sql('return_relationships')}) WHERE reason = '')"
+    + """ SELECT return_refund_id, order_id, order_item_id, strftime(return_timestamp AT TIME ZONE 'UTC', '%Y%m%d')::INT AS return_date_sk, epoch_us(return_timestamp) AS return_us, refund_amount::DOUBLE AS refund_amount, return_reason
+FROM r JOIN ok USING (return_refund_id)"""
+)
+def fact_return_refund(spark: SparkSession, d: str) -> DataFrame:
+    """Valid returns of items that are there, of the same order and not before it."""
+    r = star._judged_returns(spark, d).filter("reason = ''")
+    return r.select(
+        "return_refund_id", "order_id", "order_item_id", date_sk(F.col("return_timestamp")).alias("return_date_sk"), F.unix_micros("return_timestamp").alias("return_us"),
+        F.col("refund_amount").cast("double").alias("refund_amount"), "return_reason",
+    )
+
+
+_LEDGER = (("fact_order", "order_validation"), ("fact_order_item", "item_rules_and_parent"), ("fact_return_refund", "return_relationships"), ("dim_user", "users_rejected"))
+
+
+@query(
+    "SELECT table_name, reason, count(*) AS n_rows FROM ("
+    + " UNION ALL ".join(f"SELECT '{t}' AS table_name, unnest(string_split(reason, '; ')) AS reason FROM ({_reasons_sql(q)}) WHERE reason <> ''" for t, q in _LEDGER)
+    + ") GROUP BY 1, 2"
+)
+def rejection_reasons(spark: SparkSession, d: str) -> DataFrame:
+    """How often each reason was given, by table; a row with several counts for each."""
+    out = None
+    for t, q in _LEDGER:
+        bad = star.QUERIES[q](spark, d).filter("reason <> ''")
+        part = bad.select(F.explode(F.split("reason", "; ")).alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "reason", "n_rows")
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions.ids import blank, date_sk, norm_id, strip
-from tidewell.operators import asof, audits, changefeed, marts, versions
+from tidewell.operators import asof, audits, changefeed, versions
 from tidewell.operators.calendar import calendar
 from tidewell.operators.quality import Rule, inclusive_days, quarantine, split_valid, whole_day, with_reasons
 from tidewell.sources.tables import table
@@ -57,6 +57,19 @@ def dim_date_calendar(spark: SparkSession, d: str) -> DataFrame:
     return calendar(spark, date(2024, 1, 1), date(2030, 12, 31))
 
 
+@query(
+    """WITH b AS (SELECT min((order_timestamp AT TIME ZONE 'UTC')::DATE) AS a, greatest(max((order_timestamp AT TIME ZONE 'UTC')::DATE), DATE '2030-12-31') AS z FROM fact_order)
+SELECT (year(d) * 10000 + month(d) * 100 + day(d))::INT AS date_sk, d::DATE AS full_date, dayofweek(d) IN (0, 6) AS is_weekend FROM (SELECT unnest(generate_series(a, z, INTERVAL 1 DAY)) AS d FROM b)"""
+)
+def dim_date_of_orders(spark: SparkSession, d: str) -> DataFrame:
+    """The calendar from the first order's day to the last's, at least to the end of
+    2030; one row of bounds comes to the driver."""
+    a, z = table(spark, d, "fact_order", ["order_timestamp"]).agg(F.min(F.to_date("order_timestamp")), F.max(F.to_date("order_timestamp"))).first()
+    far = date(2030, 12, 31)
+    days = calendar(spark, a or far, max(z or far, far))
+    return (days if a else days.limit(0)).select("date_sk", "full_date", "is_weekend")
+
+
 def _latest_users(spark: SparkSession, d: str) -> DataFrame:
     cols = ["user_id", "username", "email", "signup_date", "device", "loyalty_tier", "location", "source_kafka_timestamp"]
     u = table(spark, d, "dim_user", cols).filter(~F.coalesce(strip("user_id"), F.lit("")).eqNullSafe("UNKNOWN"))
@@ -113,10 +126,17 @@ WITH u AS (
 """
 
 
-@query(_USERS + "SELECT user_id, username, email, signup_date, device, loyalty_tier FROM r WHERE reason = ''")
+_USER_COLUMNS = ["username", "email", "signup_date", "device", "loyalty_tier", "location"]
+
+
+@query(
+    _USERS
+    + f"SELECT user_id, {', '.join(_USER_COLUMNS)}, sha256(concat_ws('||', {', '.join(f'coalesce({c}::VARCHAR, chr(0))' for c in _USER_COLUMNS)})) AS record_hash, epoch_us(source_kafka_timestamp) AS source_us FROM r WHERE reason = ''"
+)
 def dim_user_clean(spark: SparkSession, d: str) -> DataFrame:
+    """The valid users with the hash of their tracked attributes."""
     valid, _ = split_valid(_latest_users(spark, d), _user_rules())
-    return valid.select("user_id", "username", "email", "signup_date", "device", "loyalty_tier")
+    return valid.select("user_id", *_USER_COLUMNS, versions.record_hash(_USER_COLUMNS).alias("record_hash"), F.unix_micros("source_kafka_timestamp").alias("source_us"))
 
 
 @query(_USERS + "SELECT user_id, reason FROM r WHERE reason <> ''")
@@ -295,7 +315,11 @@ def _orders(spark: SparkSession, d: str) -> DataFrame:
   CASE WHEN source_kafka_timestamp IS NULL THEN 'missing_kafka_timestamp' END) AS reason FROM o"""
 )
 def order_validation(spark: SparkSession, d: str) -> DataFrame:
-    rules = [
+    return with_reasons(_orders(spark, d), _order_rules(), "reason").select("order_id", "reason")
+
+
+def _order_rules() -> list[Rule]:
+    return [
         Rule("missing_order_id", F.col("order_id").isNull()),
         Rule("missing_user_id", F.col("user_sk").isNull()),
         Rule("missing_order_timestamp", F.col("order_timestamp").isNull()),
@@ -306,7 +330,6 @@ def order_validation(spark: SparkSession, d: str) -> DataFrame:
         Rule("missing_payment_method", blank("payment_method")),
         Rule("missing_kafka_timestamp", F.col("source_kafka_timestamp").isNull()),
     ]
-    return with_reasons(_orders(spark, d), rules, "reason").select("order_id", "reason")
 
 
 @query(
@@ -356,6 +379,11 @@ def latest_item_version(spark: SparkSession, d: str) -> DataFrame:
 FROM i LEFT JOIN (SELECT DISTINCT order_id FROM o WHERE order_id IS NOT NULL) o ON i.order_id = o.order_id"""
 )
 def item_rules_and_parent(spark: SparkSession, d: str) -> DataFrame:
+    return _judged_items(spark, d).select("order_item_id", "reason")
+
+
+def _judged_items(spark: SparkSession, d: str) -> DataFrame:
+    """Latest items with the reasons against them."""
     parents = _orders(spark, d).select(F.col("order_id").alias("parent")).filter("parent is not null").distinct()
     j = _items(spark, d).join(parents, F.col("order_id") == F.col("parent"), "left")
     rules = [
@@ -372,7 +400,7 @@ def item_rules_and_parent(spark: SparkSession, d: str) -> DataFrame:
         Rule("missing_kafka_timestamp", F.col("source_kafka_timestamp").isNull()),
         Rule("missing_parent_order", F.col("parent").isNull()),
     ]
-    return with_reasons(j, rules, "reason").select("order_item_id", "reason")
+    return with_reasons(j, rules, "reason")
 
 
 @query(
@@ -422,6 +450,11 @@ def _returns(spark: SparkSession, d: str) -> DataFrame:
 FROM r LEFT JOIN (SELECT * FROM i WHERE order_item_id IS NOT NULL) i ON r.order_item_id = i.order_item_id"""
 )
 def return_relationships(spark: SparkSession, d: str) -> DataFrame:
+    return _judged_returns(spark, d).select("return_refund_id", "reason")
+
+
+def _judged_returns(spark: SparkSession, d: str) -> DataFrame:
+    """Latest returns with the reasons against them."""
     i = _items(spark, d).filter("order_item_id is not null").select(F.col("order_item_id").alias("item"), F.col("order_id").alias("item_order"), F.col("order_timestamp").alias("ordered"))
     j = _returns(spark, d).join(i, F.col("order_item_id") == F.col("item"), "left")
     rules = [
@@ -437,7 +470,7 @@ def return_relationships(spark: SparkSession, d: str) -> DataFrame:
         Rule("order_item_order_mismatch", F.col("item").isNotNull() & (F.col("item_order") != F.col("order_id"))),
         Rule("return_before_order", F.col("return_timestamp") < F.col("ordered")),
     ]
-    return with_reasons(j, rules, "reason").select("return_refund_id", "reason")
+    return with_reasons(j, rules, "reason")
 
 
 # ------------------------------------------------------------ denormalized
@@ -452,29 +485,36 @@ _OBT = (
 )
 
 
-def _obt(spark: SparkSession, d: str) -> DataFrame:
-    o = _orders(spark, d).filter("order_id is not null").select("order_id", "order_total", "status")
-    i = _items(spark, d).filter("order_item_id is not null").select("order_item_id", "order_id", "quantity")
-    return marts.once_per_parent(i.join(o, "order_id"), "order_id", "order_item_id", "order_total")
-
-
 # ------------------------------------------------------------ audits
 
 
 @query(
     _OBT
     + """, m AS (SELECT count(*) AS n, count(DISTINCT order_item_id) AS items, count(DISTINCT order_id) AS orders, sum((rn = 1)::INT) AS firsts, sum(CASE WHEN rn = 1 THEN order_total END) AS once FROM t),
-s AS (SELECT sum(order_total) AS total FROM o WHERE order_id IN (SELECT order_id FROM t))
-SELECT unnest(['items_unique', 'one_flag_an_order', 'totals_reconcile']) AS check_name, unnest([n = items, firsts = orders, once IS NOT DISTINCT FROM total]) AS passed FROM m, s"""
+s AS (SELECT count(*) AS represented, sum(order_total) AS total, (SELECT count(*) FROM i JOIN o USING (order_id) WHERE i.order_item_id IS NOT NULL) AS source_items FROM o WHERE order_id IN (SELECT order_id FROM t))
+SELECT unnest(['rows_are_items', 'items_unique', 'no_duplicates', 'orders_are_represented', 'one_flag_an_order', 'totals_reconcile']) AS check_name,
+  unnest([n = source_items, items = source_items, n - items = 0, orders = represented, firsts = represented, once IS NOT DISTINCT FROM total]) AS passed FROM m, s"""
 )
 def order_total_reconciliation(spark: SparkSession, d: str) -> DataFrame:
-    t = _obt(spark, d)
-    by_order = t.groupBy("order_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("order_item_id").alias("items"), F.sum("is_first_row").alias("firsts"), F.sum("order_total_once").alias("once"))
-    o = _orders(spark, d).filter("order_id is not null").select("order_id", "order_total")
-    m = by_order.join(o, "order_id").agg(
-        F.sum("n").alias("n"), F.sum("items").alias("items"), F.count(F.lit(1)).alias("orders"), F.sum("firsts").alias("firsts"), F.sum("once").alias("once"), F.sum("order_total").alias("total")
+    """The six reconciliations of the denormalized table with its sources."""
+    from tidewell.plans import models
+
+    t = models.transactional_obt(spark, d)
+    by_item = t.groupBy("order_id", "order_item_id").agg(F.count(F.lit(1)).alias("n"), F.sum("order_count_flag").alias("flags"), F.sum(F.round(F.col("order_total_once") * 100).cast("bigint")).alias("cents"))
+    by_order = by_item.groupBy("order_id").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("items"), F.sum("flags").alias("flags"), F.sum("cents").alias("cents"))
+    items = _items(spark, d).filter("order_item_id is not null").groupBy("order_id").agg(F.count(F.lit(1)).alias("source_items"))
+    source = _orders(spark, d).filter("order_id is not null").select("order_id", (F.col("order_total") * 100).cast("bigint").alias("source_cents")).join(items, "order_id")
+    m = source.join(by_order, "order_id", "full_outer").agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "items", "flags", "cents", "source_items", "source_cents")], F.count("n").alias("orders"), F.count("source_items").alias("represented")
     )
-    return audits.checks(m, {"items_unique": F.col("n") == F.col("items"), "one_flag_an_order": F.col("firsts") == F.col("orders"), "totals_reconcile": F.col("once").eqNullSafe(F.col("total"))})
+    c = F.col
+    return audits.checks(
+        m,
+        {
+            "rows_are_items": c("n") == c("source_items"), "items_unique": c("items") == c("source_items"), "no_duplicates": c("n") == c("items"), "orders_are_represented": c("orders") == c("represented"),
+            "one_flag_an_order": c("flags") == c("represented"), "totals_reconcile": c("cents") == c("source_cents"),
+        },
+    )
 
 
 @query("SELECT o_orderkey FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)")

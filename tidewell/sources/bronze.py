@@ -39,6 +39,24 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def existing(spark: SparkSession, paths: list[str], log=None) -> list[str]:  # noqa: ANN001
+    """The paths that are there; the others are told to ``log``, as a day without
+    data has no folder."""
+    there = []
+    for p in paths:
+        if exists(spark, p):
+            there.append(p)
+        elif log:
+            log(f"no folder {p}")
+    return there
+
+
+def read_days(spark: SparkSession, base: str, topic: str, start: datetime, end: datetime, branch: str = "new_data", log=None) -> DataFrame | None:  # noqa: ANN001
+    """The day folders that [start, end) touches and that are there; None if none is."""
+    paths = existing(spark, day_paths(base, topic, start, end, branch), log)
+    return read_files(spark, *paths) if paths else None
+
+
 def read_files(spark: SparkSession, *paths: str, merge_schema: bool = False) -> DataFrame:
     """Parquet files below the paths; folder names are no partitions here."""
     return spark.read.option("recursiveFileLookup", "true").option("mergeSchema", str(merge_schema).lower()).parquet(*paths)
