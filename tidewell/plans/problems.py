@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.ids import date_sk, norm_id, strip
 from tidewell.operators import asof, changefeed, exactly_once, history, late_events, orphans, timestamps
+from tidewell.plans.hash_sql import xxhash64
 from tidewell.plans.instant_sql import INSTANTS
 from tidewell.sources.tables import table
 
@@ -386,6 +387,20 @@ _P1 = (
 )
 _SK = "strftime(make_timestamp({}), '%Y%m%d')::INT"
 
+_GONE = f"""gone AS (SELECT kafka_topic, {xxhash64("id")} AS ref, gone_at FROM (SELECT kafka_topic, id, coalesce(max(kafka_timestamp), TIMESTAMPTZ '0001-01-01 00:00:00+00') AS gone_at
+  FROM (SELECT kafka_topic, kafka_timestamp, nullif(upper(trim(kafka_key, E' \\t\\n\\r')), '') AS id FROM raw_tombstone WHERE order_id IS NULL AND user_id IS NULL) WHERE id IS NOT NULL GROUP BY 1, 2))"""
+_P5_SQL = (
+    f"WITH {_GONE}, o AS ("
+    + " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, r.record_key, r.month_sk, CASE WHEN g.ref IS NOT NULL AND (p.ref IS NULL OR g.gone_at > p.last_at) THEN 'deleted' WHEN p.ref IS NULL THEN 'missing' WHEN p.first_at > r.came THEN 'late' END AS orphan_kind
+  FROM (SELECT nullif(upper(trim({key}, E' \\t\\n\\r')), '') AS record_key, {ref} AS ref, source_kafka_timestamp AS came, strftime(coalesce({at}, source_kafka_timestamp) AT TIME ZONE 'UTC', '%Y%m')::INT AS month_sk FROM {name}) r
+  LEFT JOIN (SELECT {pk} AS ref, min(source_kafka_timestamp) AS first_at, max(source_kafka_timestamp) AS last_at FROM {parent} WHERE {pk} IS NOT NULL GROUP BY 1) p ON p.ref = r.ref
+  LEFT JOIN gone g ON g.ref = r.ref AND g.kafka_topic = '{topic}' WHERE r.record_key IS NOT NULL AND r.ref IS NOT NULL"""
+        for name, key, ref, at, parent, pk, topic in _P5
+    )
+    + ") "
+)
+
 #: Current state of the three tables: each field's value in the last change that
 #: carries it since the last insert, else the base's where nothing was inserted.
 _STATE_FIELDS = [f for fs in _P6_FIELDS.values() for f in fs]
@@ -448,6 +463,8 @@ SELECT {_SK.format("period")} AS date_sk, {_SK.format("epoch")} AS as_of_date_sk
 SELECT date_sk, count(*) AS n_events, arg_min(event_key, (e, event_key)) AS first_key, arg_max(event_key, (e, event_key)) AS last_key, max(pause) AS longest_pause_us FROM g GROUP BY period, date_sk""",
     "p1_rejected_events": _P1 + "SELECT DISTINCT event_key, date_sk, (a - e) // 3600000000 AS hours_late FROM k WHERE a - e > 259200000000",
     "p4_found": _P4,
+    "p5_found": _P5_SQL + "SELECT DISTINCT table_name, record_key, orphan_kind FROM o WHERE orphan_kind IS NOT NULL",
+    "p5_report": _P5_SQL + "SELECT table_name, month_sk, orphan_kind, count(*) AS n_rows, count(DISTINCT record_key) AS n_records FROM o WHERE orphan_kind IS NOT NULL GROUP BY 1, 2, 3",
     "p6_current_state": _P6_STATE,
     "p2_found": _P2 + "SELECT product_id, at_us AS effective_from_us FROM runs",
     "p2_price_history": _P2
