@@ -290,27 +290,47 @@ def gap_sessions(events: DataFrame, user: str, at_us: str, key: str, gap_us: int
     return numbered.groupBy("user", "session_no").agg(F.sum("n").alias("events"), F.min("a").alias("started"), F.max("z").alias("ended"))
 
 
-def entity_daily(events: DataFrame, entity: Column, kept: Column, measures: dict[str, Column], users: dict[str, Column] | None = None, sessions: dict[str, Column] | None = None) -> DataFrame:
+def entity_daily(
+    events: DataFrame,
+    entity: Column,
+    kept: Column,
+    measures: dict[str, Column],
+    users: dict[str, Column] | None = None,
+    sessions: dict[str, Column] | None = None,
+    of_session: dict[str, Column] | None = None,
+) -> DataFrame:
     """By entity, device and day: events, distinct users and sessions, those of
     sessions that completed an order that day, ``measures`` (sums of columns of the
     events), ``users`` (distinct users of events for which a condition holds) and
     ``sessions`` (distinct sessions with the entity that had a step that day).
+    ``of_session`` are aggregates of a session's day that measures may name.
 
-    What a session did that day is joined as one row a (day, session), nothing is
-    collected; rows without a session don't meet that join."""
+    What a session did that day is one aggregation and is joined as one row a (day,
+    session), nothing is collected: to the events' sums by user and session, or to
+    the kept events themselves where measures need it. Rows without a session don't
+    meet that join."""
     steps = step_flags()
-    users, sessions = users or {}, sessions or {}
+    users, sessions, of_session = users or {}, sessions or {}, of_session or {}
     did = events.filter("session_id is not null and date_sk is not null").groupBy("date_sk", "session_id").agg(
-        F.bool_or(steps["order_complete"]).alias("__ordered"), *[F.bool_or(c).alias(f"__s_{k}") for k, c in sessions.items()]
+        F.bool_or(steps["order_complete"]).alias("__ordered"), *[F.bool_or(c).alias(f"__s_{k}") for k, c in sessions.items()], *[c.alias(k) for k, c in of_session.items()]
     )
     keys = ["date_sk", "entity", "device"]
-    e = events.filter(kept & entity.isNotNull() & F.col("date_sk").isNotNull()).groupBy(
-        "date_sk", entity.alias("entity"), device_name("device").alias("device"), "user_id", "session_id"
-    ).agg(F.count(F.lit(1)).alias("__n"), *[F.sum(c).alias(k) for k, c in measures.items()], *[F.count_if(c).alias(f"__u_{k}") for k, c in users.items()])
     flags = ["__ordered", *[f"__s_{k}" for k in sessions]]
-    with_session = e.filter("session_id is not null").join(did, ["date_sk", "session_id"], "left")
-    without = e.filter("session_id is null").withColumns({f: F.lit(False) for f in flags})
-    e = with_session.unionByName(without)
+
+    def joined(df: DataFrame) -> DataFrame:
+        with_session = df.filter("session_id is not null").join(did, ["date_sk", "session_id"])
+        return with_session.unionByName(df.filter("session_id is null"), allowMissingColumns=True)
+
+    rows = events.filter(kept & entity.isNotNull() & F.col("date_sk").isNotNull()).withColumns({"entity": entity, "device": device_name("device")})
+    rows = joined(rows) if of_session else rows
+    e = rows.groupBy(*keys, "user_id", "session_id").agg(
+        F.count(F.lit(1)).alias("__n"),
+        *[F.sum(c).alias(k) for k, c in measures.items()],
+        *[F.count_if(c).alias(f"__u_{k}") for k, c in users.items()],
+        *([F.bool_or(f).alias(f) for f in flags] if of_session else []),
+    )
+    e = e if of_session else joined(e)
+    e = e.withColumns({f: F.coalesce(F.col(f), F.lit(False)) for f in flags})
     by_user = e.groupBy(*keys, "user_id").agg(
         F.sum("__n").alias("__n"), F.bool_or("__ordered").alias("__ordered"), *[F.sum(k).alias(k) for k in measures], *[F.sum(f"__u_{k}").alias(f"__u_{k}") for k in users]
     )

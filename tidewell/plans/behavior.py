@@ -334,18 +334,14 @@ def entity_page_daily(spark: SparkSession, d: str) -> DataFrame:
     view of the page."""
     e = _events_once(spark, d, *_ENTITY["page"][3])
     key = F.struct("at_us", "event_key")
-    ends = e.filter("session_id is not null and date_sk is not null").groupBy("date_sk", "session_id").agg(
-        F.min(key)["event_key"].alias("first_key"), F.max(key)["event_key"].alias("last_key"), F.count(F.lit(1)).alias("n")
-    )
-    # The same rows, so one event at most per session and day is its first; no distinct count is needed.
-    at_ends = e.filter("session_id is not null").join(ends, ["date_sk", "session_id"])
-    e = at_ends.unionByName(e.filter("session_id is null"), allowMissingColumns=True)
+    # One event at most of a session's day is its first, so no distinct count is needed.
+    day = {"first_key": F.min(key)["event_key"], "last_key": F.max(key)["event_key"], "n": F.count(F.lit(1))}
     s = marts.step_flags()
     measures = {
         "page_views": _if(F.lit(True)), "duration_sum": _if(F.lit(True), F.coalesce("duration_sec", F.lit(0))), "http_4xx": _if(F.col("http_status").between(400, 499)),
         "http_5xx": _if(F.col("http_status").between(500, 599)), "entrances": _if(F.col("event_key") == F.col("first_key")), "exits": _if(F.col("event_key") == F.col("last_key")), "bounces": _if(F.col("n") == 1),
     }
-    return marts.entity_daily(e, F.col("url_path"), s["page_view"], measures)
+    return marts.entity_daily(e, F.col("url_path"), s["page_view"], measures, of_session=day)
 
 
 def entity_daily(spark: SparkSession, d: str) -> DataFrame:
